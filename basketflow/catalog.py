@@ -19,10 +19,11 @@ from basketflow.operators import affinity, batches, embeddings, metrics, model,
 from basketflow.operators import examples as ex
 from basketflow.operators import sampling, scoring, sequences
 from basketflow.operators import vocabulary as voc
-from basketflow.plans.stages import TRANSACTION_KEYS, Settings, examples_of, materialize
+from basketflow.plans.stages import TRANSACTION_KEYS, Settings, examples_of
 from basketflow.schemas import BASKET, CUST, PROD, WEEK
 from basketflow.session import scratch_path
 from basketflow.sources import landing, sample_tables, tables
+from basketflow.sources.tables import materialize
 
 # Bounds small enough that baskets, customers and items on both sides of each occur.
 SETTINGS = Settings(num_prods=500, max_items=8, max_seq=16, embedding_size=16)

@@ -20,7 +20,6 @@ from basketflow.operators.examples import labels as labels_of
 from basketflow.operators.lookup import lookup
 from basketflow.operators.metrics import (
     TOP_K,
-    cells,
     class_weights,
     example_count,
     label_outcomes,
@@ -30,6 +29,7 @@ from basketflow.operators.metrics import (
 )
 from basketflow.operators.scoring import DECAY, item_history
 from basketflow.schemas import CUST
+from basketflow.sources.tables import materialize
 
 OWN_FEATURES = ["recency", "frequency", "in_last", "fit"]
 FEATURES = [*OWN_FEATURES, "popularity"]
@@ -61,9 +61,10 @@ def own_features(
     """Feature row of every (customer, item of its history).
 
     ``fit`` is the cosine of the item's vector and the recency-weighted mean of the customer's
-    item vectors, 0 without embeddings.
+    item vectors, 0 without embeddings. The examples are shuffled by customer once, with their
+    baskets still packed in a row; all that follows stays in place.
     """
-    history = item_history(examples, decay)
+    history = item_history(examples.repartition(CUST), decay)
     if embeddings is None:
         history = history.withColumn("fit", F.lit(0.0))
     else:
@@ -80,41 +81,49 @@ def own_features(
     return lookup(history, popularity.select("idx", "popularity"), ["idx"], num_labels, CUST)
 
 
-def background_features(popularity: DataFrame) -> DataFrame:
+def background_features(popularity: DataFrame, *keep: str) -> DataFrame:
     """Feature row of every item for customers without it in their history."""
     zeros = {name: F.lit(0.0) for name in OWN_FEATURES}
-    return popularity.select("idx", "popularity").withColumns(zeros)
+    return popularity.select("idx", "popularity", *keep).withColumns(zeros)
+
+
+def own_cells(train: DataFrame, own: DataFrame) -> DataFrame:
+    """Feature rows of the train customers with their label ``y``.
+
+    Features and labels are stacked and grouped, which takes one shuffle.
+    """
+    positive = labels_of(train).withColumn("y", F.lit(1))
+    return (
+        own.withColumn("y", F.lit(0))
+        .unionByName(positive, allowMissingColumns=True)
+        .groupBy(CUST, "idx")
+        .agg(F.max("y").alias("y"), *[F.max(c).alias(c) for c in FEATURES])
+        .where(F.col("recency").isNotNull())
+    )
 
 
 def training_rows(
     train: DataFrame, own: DataFrame, popularity: DataFrame, weights: DataFrame | None, width: int
 ) -> DataFrame:
     """(features…, y, weight): own cells one by one, all others as two rows per item."""
-    y = labels_of(train)
-    n = example_count(train)
-    scored = own.withColumn("p", F.lit(0.0))
-    own_cells = own.join(cells(y, scored).where(F.col("p").isNotNull()).drop("p"), [CUST, "idx"])
-    own_pos = own_cells.groupBy("idx").agg(F.sum("y").alias("own_pos"))
-    all_pos = y.groupBy("idx").agg(F.count("*").alias("all_pos"))
+    own_pos = own.groupBy("idx").agg(F.sum("y").alias("own_pos"))
+    all_pos = labels_of(train).groupBy("idx").agg(F.count("*").alias("all_pos"))
     rest = lookup(popularity, own_pos, ["idx"], width, "idx")
     rest = lookup(rest, all_pos, ["idx"], width, "idx").fillna(0, ["own_pos", "all_pos"])
+    rest = rest.withColumn("_n", example_count(train).scalar())
     rest_pos = F.col("all_pos") - F.col("own_pos")
-    rest = rest.withColumn("_n", n.scalar()).select(
-        "idx",
-        F.explode(
-            F.array(
-                F.struct(F.lit(1).alias("y"), rest_pos.alias("times")),
-                F.struct(
-                    F.lit(0).alias("y"),
-                    (F.col("_n") - F.col("n_own") - rest_pos).alias("times"),
-                ),
-            )
-        ).alias("c"),
+    rest_neg = F.col("_n") - F.col("n_own") - rest_pos
+    counted = F.array(
+        F.struct(F.lit(1).alias("y"), rest_pos.alias("times")),
+        F.struct(F.lit(0).alias("y"), rest_neg.alias("times")),
+    )
+    rest = background_features(rest, "n_own", "own_pos", "all_pos", "_n").withColumn(
+        "_c", F.explode(counted)
     )
-    rest = background_features(popularity).join(rest, "idx").where(F.col("c.times") > 0)
     names = ["idx", *FEATURES]
-    rows = own_cells.select(*names, "y", F.lit(1).cast("bigint").alias("times")).unionByName(
-        rest.select(*names, "c.y", "c.times")
+    one = F.lit(1).cast("bigint").alias("times")
+    rows = own.select(*names, "y", one).unionByName(
+        rest.where(F.col("_c.times") > 0).select(*names, "_c.y", "_c.times")
     )
     if weights is None:
         weight = F.col("times").cast("double")
@@ -134,11 +143,13 @@ def fit_next_basket(
     regularization: float = 1e-4,
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit on examples (customer, x, y); returns the model and the item popularity it needs."""
-    popularity = item_popularity(train, num_labels)
-    own = own_features(train, popularity, num_labels, embeddings, decay)
+    popularity = materialize(item_popularity(train, num_labels), "popularity")
+    features = own_features(train, popularity, num_labels, embeddings, decay)
+    own = materialize(own_cells(train, features), "own-cells")
     weights = None
     if use_class_weights:
         weights = class_weights(labels_of(train), example_count(train), num_labels)
+        weights = materialize(weights, "class-weights")
     rows = training_rows(train, own, popularity, weights, num_labels)
     stages = [
         VectorAssembler(inputCols=FEATURES, outputCol="features"),

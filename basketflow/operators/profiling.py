@@ -44,9 +44,13 @@ def distinct_counts(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def row_digest(df: DataFrame) -> Column:
-    """SHA-256 of the values of a row of atomic columns, as binary."""
-    values = F.array(*[F.col(c).cast("string") for c in df.columns])
-    return F.unhex(F.sha2(F.to_json(values), 256))
+    """SHA-256 of a row of atomic columns, as binary. Lengths keep the values apart."""
+
+    def marked(column: str) -> Column:
+        text = F.col(column).cast("string")
+        return F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-"))
+
+    return F.unhex(F.sha2(F.concat(*[marked(c) for c in df.columns]), 256))
 
 
 def duplicate_counts(df: DataFrame) -> DataFrame:

@@ -16,7 +16,6 @@ from basketflow.operators import profiling, sampling
 from basketflow.operators.metrics import class_weights, example_count
 from basketflow.operators.sequences import padded_sequences
 from basketflow.operators.vocabulary import vocabulary
-from basketflow.session import scratch_path
 from basketflow.sources.landing import read_landing
 from basketflow.sources.tables import read_table, write_examples, write_staged, write_table
 
@@ -38,13 +37,6 @@ class Settings:
         return self.num_prods + 1
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a table that later plans read several times to the shared scratch folder."""
-    path = scratch_path(df.sparkSession, name)
-    write_table(df, path)
-    return read_table(df.sparkSession, path)
-
-
 def profile(df: DataFrame, distinct: dict[str, str]) -> dict[str, DataFrame]:
     """All profile tables of a table, by name."""
     return {
@@ -121,7 +113,6 @@ def train(spark: SparkSession, data: str, output: str, settings: Settings) -> No
     )
     mdl.save_model(model, f"{output}/model")
     write_table(popularity, f"{output}/popularity")
-    popularity = read_table(spark, f"{output}/popularity")
     weights = None
     if s.use_class_weights:
         weights = class_weights(ex.labels(of_train), example_count(of_train), s.num_labels)

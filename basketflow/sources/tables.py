@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from basketflow.schemas import WEEK
+from basketflow.session import scratch_path
 
 
 def write_staged(df: DataFrame, path: str) -> None:
@@ -23,6 +24,16 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Store a table that later plans read more than once in the shared scratch folder.
+
+    Unlike a cache it outlives the loss of executors, and readers scan only the columns they use.
+    """
+    path = scratch_path(df.sparkSession, name)
+    write_table(df, path)
+    return read_table(df.sparkSession, path)
+
+
 def write_examples(examples: DataFrame, path: str) -> None:
     """One folder per split, so that training reads only its own."""
     write_table(examples, path, partition_by=("split",))
