@@ -17,6 +17,7 @@ HEAVY_AFTER = 1_000_000
 # PARTS slices together, so tables of heavy groups, cuts and offsets are small enough to broadcast.
 PARTS = 1024
 _OVERSAMPLE = 4
+_STEP = 32
 SAMPLED_SLICES = 2 * PARTS
 
 
@@ -61,7 +62,7 @@ def key_slices(rows: DataFrame, key: Column) -> DataFrame:
     sample = rows.select(key.alias("_key")).where(
         _uniform("_key") < F.lit(_OVERSAMPLE * PARTS) / F.greatest(total, F.lit(1))
     )
-    cuts = sample.agg(F.array_sort(F.collect_list("_key")).alias("_cuts")).select(_thin("_cuts"))
+    cuts = sample.agg(F.array_sort(F.collect_list("_key")).alias("_keys")).select(_cuts("_keys"))
     return (
         rows.withColumn("_cuts", cuts.scalar())
         .withColumn("_slice", _slice_of(key))
@@ -105,8 +106,8 @@ def _heavy_cuts(keys: DataFrame, group: str, order: str, heavy_after: int) -> Da
         .select(group, order)
         .dropDuplicates()
     )
-    lists = sample.groupBy(group).agg(F.array_sort(F.collect_list(order)).alias("_cuts"))
-    return lists.select(group, _thin("_cuts"))
+    lists = sample.groupBy(group).agg(F.array_sort(F.collect_list(order)).alias("_keys"))
+    return lists.select(group, _cuts("_keys"))
 
 
 def _heavy_offsets(keys: DataFrame, cuts: DataFrame, group: str, order: str) -> DataFrame:
@@ -132,13 +133,24 @@ def _uniform(column: str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(column), 11) / F.lit(float(2**53))
 
 
-def _thin(cuts: str) -> Column:
-    kept = F.filter(cuts, lambda _, i: i % _OVERSAMPLE == _OVERSAMPLE - 1)
-    return kept.alias("_cuts")
+def _cuts(keys: str) -> Column:
+    """Cut points from sorted sample keys, and every _STEP-th of them as marks to find them by."""
+    cuts = F.filter(keys, lambda _, i: i % _OVERSAMPLE == _OVERSAMPLE - 1)
+    step = _OVERSAMPLE * _STEP
+    marks = F.filter(keys, lambda _, i: i % step == step - 1)
+    return F.struct(cuts.alias("cuts"), marks.alias("marks")).alias("_cuts")
 
 
 def _slice_of(key: Column) -> Column:
-    """Number of cut points at or below the key; null without cut points."""
-    return F.when(
-        F.col("_cuts").isNotNull(), F.size(F.filter("_cuts", lambda cut: cut <= key))
-    )
+    """Number of cut points at or below the key; null without cut points.
+
+    The marks tell which _STEP cut points to look at, so a search compares some 2 * sqrt(PARTS)
+    keys and not PARTS.
+    """
+
+    def at_or_below(points: Column) -> Column:
+        return F.size(F.filter(points, lambda point: point <= key))
+
+    passed = at_or_below(F.col("_cuts.marks")) * _STEP
+    near = F.slice(F.col("_cuts.cuts"), passed + 1, F.lit(_STEP))
+    return F.when(F.col("_cuts").isNotNull(), passed + at_or_below(near))
