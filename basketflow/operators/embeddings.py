@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from basketflow.operators.lookup import lookup
 from basketflow.schemas import CUST, PAD
 
+VECTOR_BYTES = 4096  # room for 1024 single-precision numbers
+
 
 def fit_item_embeddings(
     baskets: DataFrame,
@@ -49,7 +51,7 @@ def item_embeddings(model: Word2VecModel, num_labels: int) -> DataFrame:
     )
     spine = vectors.sparkSession.range(num_labels).select(F.col("id").cast("int").alias("idx"))
     zero = F.array_repeat(F.lit(0.0).cast("float"), model.getVectorSize())
-    joined = lookup(spine, learned, ["idx"], num_labels, "idx")
+    joined = lookup(spine, learned, ["idx"], num_labels, "idx", VECTOR_BYTES)
     return joined.withColumn("vector", F.coalesce("vector", zero))
 
 
@@ -62,7 +64,7 @@ def basket_vectors(
     )
     if skip_pads:
         items = items.where(F.col("idx") != PAD)
-    vectors = lookup(items, embeddings, ["idx"], num_labels, CUST)
+    vectors = lookup(items, embeddings, ["idx"], num_labels, CUST, VECTOR_BYTES)
     mean = Summarizer.mean(array_to_vector(F.col("vector").cast("array<double>")))
     return vectors.groupBy(CUST, "basket_pos").agg(
         vector_to_array(mean, "float32").alias("vector")
@@ -87,7 +89,7 @@ def pair_similarity(pairs: DataFrame, embeddings: DataFrame, num_labels: int) ->
             F.col("idx").alias(f"idx_{side}"), F.col("vector").alias(f"_vector_{side}")
         )
         other = "idx_b" if side == "a" else "idx_a"
-        pairs = lookup(pairs, named, [f"idx_{side}"], num_labels, other)
+        pairs = lookup(pairs, named, [f"idx_{side}"], num_labels, other, VECTOR_BYTES)
     return pairs.withColumn("cosine", cosine(F.col("_vector_a"), F.col("_vector_b"))).drop(
         "_vector_a", "_vector_b"
     )

@@ -15,7 +15,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.operators.embeddings import cosine
+from basketflow.operators.embeddings import VECTOR_BYTES, cosine
 from basketflow.operators.examples import labels as labels_of
 from basketflow.operators.lookup import lookup
 from basketflow.operators.metrics import (
@@ -68,7 +68,7 @@ def own_features(
     if embeddings is None:
         history = history.withColumn("fit", F.lit(0.0))
     else:
-        vectors = lookup(history, embeddings, ["idx"], num_labels, CUST)
+        vectors = lookup(history, embeddings, ["idx"], num_labels, CUST, VECTOR_BYTES)
         as_vector = array_to_vector(F.col("vector").cast("array<double>"))
         pooled = vectors.groupBy(CUST).agg(
             vector_to_array(Summarizer.mean(as_vector, F.col("recency"))).alias("_pooled")

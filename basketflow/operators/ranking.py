@@ -16,6 +16,8 @@ HEAVY_AFTER = 1_000_000
 # Wanted number of slices per table. At most PARTS groups can be heavy, and they have about
 # PARTS slices together, so tables of heavy groups, cuts and offsets are small enough to broadcast.
 PARTS = 1024
+# A table of a known smaller size is numbered by one task.
+SINGLE_TASK_ROWS = 100_000
 _OVERSAMPLE = 4
 _STEP = 32
 SAMPLED_SLICES = 2 * PARTS
@@ -52,6 +54,18 @@ def positions(
     )
 
 
+def numbered(rows: DataFrame, order: list, most: int) -> DataFrame:
+    """Add ``pos`` (from 0) to a table of at most ``most`` rows, unique on the ``order`` columns.
+
+    The columns are sorted upwards, nulls first.
+    """
+    if most <= SINGLE_TASK_ROWS:
+        return rows.withColumn("pos", F.row_number().over(Window.orderBy(*order)) - 1)
+    keyed = rows.withColumn("_order", F.struct(*order))
+    sliced = key_slices(keyed, F.col("_order"))
+    return positions(sliced, ["_order"], SAMPLED_SLICES).drop("_order", "total")
+
+
 def key_slices(rows: DataFrame, key: Column) -> DataFrame:
     """Add ``_slice``: about PARTS even slices of the table in the order of a unique ``key``.
 

@@ -5,9 +5,13 @@ the customer, and every other item has the score that ``background`` (idx, p) gi
 stands for the full customer by item matrix without writing it out.
 """
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketflow.operators.lookup import lookup
+from basketflow.operators.ranking import numbered
 from basketflow.schemas import CUST
 
 DECAY = 0.1
@@ -23,8 +27,10 @@ def item_history(examples: DataFrame, decay: float = DECAY) -> DataFrame:
     that the order of addition cannot decide between equal scores.
     """
     length = F.size("x")
-    ages = F.sequence(F.lit(0), length - 1)
-    weight_sum = F.aggregate(ages, F.lit(0.0), lambda s, a: s + F.exp(-F.lit(decay) * a))
+    if decay == 0:
+        weight_sum = length.cast("double")
+    else:
+        weight_sum = (1 - F.exp(-F.lit(decay) * length)) / (1 - math.exp(-decay))
     baskets = examples.select(
         CUST,
         length.alias("_n"),
@@ -64,45 +70,47 @@ def top_items(
     merged with the best background items it has no row for; these lie among the first
     ``k + own rows`` of the background. Groups are bounded by the number of labels.
     """
-    spark = scores.sparkSession
-    spine = spark.range(num_labels).select(F.col("id").cast("int").alias("idx"))
+    spine = scores.sparkSession.range(num_labels).select(F.col("id").cast("int").alias("idx"))
     if background is None:
-        ranked = spine.select("idx", F.lit(0.0).alias("p"))
+        others = spine.select("idx", F.col("idx").alias("place"), F.lit(0.0).alias("p"))
     else:
-        ranked = spine.join(background, "idx", "left").select(
-            "idx", F.coalesce("p", F.lit(0.0)).alias("p")
-        )
-    # Scores as (-p, idx), so that the natural order of structs is the wanted one.
-    others = ranked.agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("p")).alias("q"), "idx"))).alias("l")
-    )
+        filled = lookup(spine, background.select("idx", "p"), ["idx"], num_labels, "idx")
+        filled = filled.fillna({"p": 0.0})
+        others = numbered(filled, [-F.col("p"), F.col("idx")], num_labels)
+        others = others.select("idx", F.col("pos").cast("int").alias("place"), "p")
+    places = others.select("idx", "place")
+    scored = lookup(scores.select(CUST, "idx", "p"), places, ["idx"], num_labels, CUST)
     entry = F.when(F.col("idx").isNotNull(), F.struct((-F.col("p")).alias("q"), "idx"))
     own = (
-        scores.select(CUST, "idx", "p")
-        .unionByName(customers.select(CUST), allowMissingColumns=True)
+        scored.unionByName(customers.select(CUST), allowMissingColumns=True)
         .groupBy(CUST)
-        .agg(F.array_sort(F.collect_list(entry)).alias("_own"))
-    )
-    merged = (
-        own.withColumn("_others", others.scalar())
-        .withColumn("_known", F.transform("_own", lambda s: s["idx"]))
-        .withColumn("_near", F.slice("_others", 1, F.size("_own") + k))
-        .withColumn(
-            "_fill",
-            F.filter("_near", lambda s: ~F.array_contains(F.col("_known"), s["idx"])),
-        )
-        .withColumn(
-            "_best",
-            F.slice(
-                F.array_sort(F.concat(F.slice("_own", 1, k), F.slice("_fill", 1, k))), 1, k
-            ),
+        .agg(
+            F.slice(F.array_sort(F.collect_list(entry)), 1, k).alias("_own"),
+            F.collect_list("place").alias("_taken"),
         )
     )
-    return merged.select(CUST, F.posexplode("_best").alias("_at", "s")).select(
-        CUST,
-        (F.col("_at") + 1).alias("rank"),
-        F.col("s.idx").alias("idx"),
-        (-F.col("s.q")).alias("p"),
+    near = F.sequence(F.lit(0), F.least(F.size("_taken") + k, F.lit(num_labels)) - 1)
+    free = F.slice(F.array_except(near, F.col("_taken")), 1, k)
+    candidates = F.concat(
+        F.transform("_own", lambda s: _candidate(-s["q"], s["idx"], F.lit(None))),
+        F.transform(free, lambda place: _candidate(F.lit(None), F.lit(None), place)),
+    )
+    merged = own.select(CUST, F.inline(candidates))
+    best_others = others.select("place", F.col("idx").alias("_idx"), F.col("p").alias("_p"))
+    merged = lookup(merged, best_others, ["place"], num_labels, CUST)
+    return top_scored(
+        merged.select(
+            CUST, F.coalesce("own_idx", "_idx").alias("idx"), F.coalesce("own_p", "_p").alias("p")
+        ),
+        k,
+    )
+
+
+def _candidate(p: Column, idx: Column, place: Column) -> Column:
+    return F.struct(
+        p.cast("double").alias("own_p"),
+        idx.cast("int").alias("own_idx"),
+        place.cast("int").alias("place"),
     )
 
 

@@ -1,10 +1,12 @@
 """Item vocabulary: the most frequent items, numbered by rank; 0 is the unknown item."""
 
-from pyspark.sql import DataFrame, Window
+import sys
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.operators.lookup import BROADCAST_ROWS, lookup
-from basketflow.operators.ranking import SAMPLED_SLICES, key_slices, positions
+from basketflow.operators.lookup import lookup
+from basketflow.operators.ranking import SINGLE_TASK_ROWS, numbered
 from basketflow.schemas import CUST, PAD, PROD, UNKNOWN_ITEM
 
 
@@ -24,17 +26,14 @@ def vocabulary(lines: DataFrame, num_prods: int) -> DataFrame:
     Equal counts are ordered by code.
     """
     size = num_prods - 1
+    order = [-F.col("n_lines"), F.col(PROD)]
     counts = item_counts(lines)
-    if size <= BROADCAST_ROWS:
-        order = [F.desc("n_lines"), F.asc(PROD)]
-        top = counts.orderBy(*order).limit(size)
-        # One task numbers the rows, but there are at most BROADCAST_ROWS of them.
-        ranked = top.withColumn("idx", F.row_number().over(Window.orderBy(*order)))
+    if size <= SINGLE_TASK_ROWS:
+        counts = counts.orderBy(*order).limit(size)
+        ranked = numbered(counts, order, size)
     else:
-        key = F.struct(-F.col("n_lines"), F.col(PROD))
-        sliced = key_slices(counts.withColumn("_order", key), F.col("_order"))
-        ranked = positions(sliced, ["_order"], SAMPLED_SLICES).where(F.col("pos") < size)
-        ranked = ranked.withColumn("idx", F.col("pos") + 1)
+        ranked = numbered(counts, order, sys.maxsize).where(F.col("pos") < size)
+    ranked = ranked.withColumn("idx", F.col("pos") + 1)
     items = ranked.select(F.col(PROD).alias("prod_code"), F.col("idx").cast("int"))
     unknown = lines.sparkSession.createDataFrame([(UNKNOWN_ITEM, PAD)], items.schema)
     return unknown.unionByName(items)

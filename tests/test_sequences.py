@@ -92,7 +92,7 @@ def test_large_vocabulary_is_ranked_in_slices(spark, monkeypatch):
     items = [f"P{rng.randint(0, 400):04d}" for _ in range(3000)]
     df = spark.createDataFrame([(i,) for i in items], f"{PROD} string")
     plain = voc.vocabulary(df, 300).collect()
-    monkeypatch.setattr(voc, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(voc, "SINGLE_TASK_ROWS", 10)
     assert sorted(voc.vocabulary(df, 300).collect()) == sorted(plain)
 
 
