@@ -206,6 +206,12 @@ def basket_sequences(spark, folder):
     return sequences.basket_sequences(sample_tables.basket_lines(spark, folder))
 
 
+@query
+def basket_sequences_sliced(spark, folder):
+    """The same with many customers taken for heavy, so that they are ranked in slices."""
+    return sequences.basket_sequences(sample_tables.basket_lines(spark, folder), heavy_after=30)
+
+
 @query
 def customer_sequences(spark, folder):
     lines = sample_tables.basket_lines(spark, folder)

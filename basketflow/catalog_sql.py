@@ -267,6 +267,12 @@ def _batch(order: str) -> str:
 def oracle_sql() -> dict[str, str]:
     threshold = f"{round(SAMPLE_RATE * 2**32):08x}"
     trans = _with(("trans",), "SELECT * FROM trans")
+    positions = _with(
+        ("items",),
+        """SELECT "CUST_CODE",
+                  dense_rank() OVER (PARTITION BY "CUST_CODE" ORDER BY "BASKET_ID") AS basket_pos,
+                  "BASKET_ID", "PROD_CODE" FROM items""",
+    )
     names = ", ".join(f"round({c}, {DIGITS}) AS {c}" for c in ("w_neg", "w_pos"))
     return {
         "stage_transactions": trans,
@@ -311,13 +317,8 @@ def oracle_sql() -> dict[str, str]:
                             THEN string_agg("PROD_CODE", ',' ORDER BY "PROD_CODE") END AS items
                 FROM items GROUP BY 1, 2""",
         ),
-        "basket_sequences": _with(
-            ("items",),
-            """SELECT "CUST_CODE",
-                      dense_rank() OVER (PARTITION BY "CUST_CODE" ORDER BY "BASKET_ID")
-                          AS basket_pos,
-                      "BASKET_ID", "PROD_CODE" FROM items""",
-        ),
+        "basket_sequences": positions,
+        "basket_sequences_sliced": positions,
         "customer_sequences": _with(
             ("wide",),
             f"""SELECT "CUST_CODE", count(*) AS n,
