@@ -4,34 +4,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.schemas import PAD
+from basketflow.sources.tables import materialize
+
+_BASKET = -1  # stands for the basket itself where entries are counted
 
 
 def item_affinity(baskets: DataFrame, min_baskets: int = 1) -> DataFrame:
     """Support, confidence and lift of the item pairs that share at least ``min_baskets`` baskets.
 
     ``baskets`` come from ``basket_arrays`` with vocabulary indices, so a basket has fewer than
-    ``max_items`` items and gives a bounded number of pairs; they are built inside its row and
-    counted before the shuffle, and no join of baskets with themselves is needed. There are at
-    most as many results as pairs of vocabulary items. Item 0 takes no part.
+    ``max_items`` items, and what it adds is bounded. Its pairs are built inside its row and counted
+    before the shuffle; baskets are not joined with themselves. There are at most as many results
+    as pairs of vocabulary items. Item 0 takes no part.
     """
     known = F.array_sort(F.array_distinct(F.filter("items", lambda i: i != PAD)))
     sets = baskets.where(F.col("items").isNotNull()).select(known.alias("_set"))
 
-    def partners(item, at):
-        later = F.slice(F.col("_set"), at + 2, F.size("_set"))
-        return F.transform(later, lambda other: F.struct(item.alias("a"), other.alias("b")))
+    def with_later(item, at):
+        """The item with itself and with each item after it."""
+        here_on = F.slice(F.col("_set"), at + 1, F.size("_set"))
+        return F.transform(here_on, lambda other: F.struct(item.alias("a"), other.alias("b")))
 
-    pairs = (
-        sets.select(F.explode(F.flatten(F.transform("_set", partners))).alias("_pair"))
-        .groupBy("_pair.a", "_pair.b")
-        .agg(F.count("*").alias("n_both"))
-        .where(F.col("n_both") >= min_baskets)
+    whole = F.array(F.struct(F.lit(_BASKET).alias("a"), F.lit(_BASKET).alias("b")))
+    # Pairs, single items as pairs with themselves, and baskets, all counted in one pass. The
+    # counts are stored, as filters on them would otherwise count the baskets anew.
+    entries = F.concat(F.flatten(F.transform("_set", with_later)), whole)
+    counted = materialize(
+        sets.select(F.explode(entries).alias("e"))
+        .groupBy("e.a", "e.b")
+        .agg(F.count("*").alias("n")),
+        "pair-counts",
     )
-    counts = sets.select(F.explode("_set").alias("idx")).groupBy("idx").agg(F.count("*").alias("n"))
-    total = sets.agg(F.count("*").alias("n_baskets")).scalar()
+    pairs = counted.where((F.col("a") < F.col("b")) & (F.col("n") >= min_baskets))
+    single = counted.where((F.col("a") == F.col("b")) & (F.col("a") != _BASKET))
+    total = counted.where(F.col("a") == _BASKET).select("n").scalar()
     return (
-        pairs.join(counts.select(F.col("idx").alias("a"), F.col("n").alias("n_a")), "a")
-        .join(counts.select(F.col("idx").alias("b"), F.col("n").alias("n_b")), "b")
+        pairs.withColumnRenamed("n", "n_both")
+        .join(single.select("a", F.col("n").alias("n_a")), "a")
+        .join(single.select("b", F.col("n").alias("n_b")), "b")
         .withColumn("n_baskets", total)
         .select(
             F.col("a").alias("idx_a"),

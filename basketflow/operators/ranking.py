@@ -90,7 +90,9 @@ def dense_positions(
     """Add ``pos`` (from 1): the dense rank of ``order`` among the rows of the same ``group``.
 
     ``keys`` holds the same (group, order) pairs as ``rows``, repeats allowed; a narrow scan of
-    the source is best, as it is read again to find heavy groups.
+    the source is best, as it is read again to find heavy groups. All its columns decide which
+    rows are sampled for cut points, so with the columns that tell rows apart the slices of a
+    group get even numbers of rows, not of order keys.
     """
     cuts = _heavy_cuts(keys, group, order, heavy_after)
     before = _heavy_offsets(keys, cuts, group, order)
@@ -114,9 +116,8 @@ def _heavy_cuts(keys: DataFrame, group: str, order: str, heavy_after: int) -> Da
     limit = F.greatest(F.lit(float(heavy_after)), F.coalesce(share, F.lit(0.0)))
     heavy = sizes.withColumn("_limit", limit).where(F.col("_rows") > F.col("_limit"))
     sample = (
-        keys.select(group, order)
-        .join(F.broadcast(heavy), group)
-        .where(_uniform(order) < F.lit(_OVERSAMPLE) / F.col("_limit"))
+        keys.join(F.broadcast(heavy), group)
+        .where(_uniform(*keys.columns) < F.lit(_OVERSAMPLE) / F.col("_limit"))
         .select(group, order)
         .dropDuplicates()
     )
@@ -142,9 +143,9 @@ def _heavy_offsets(keys: DataFrame, cuts: DataFrame, group: str, order: str) ->
     )
 
 
-def _uniform(column: str) -> Column:
-    """A number in [0, 1) that depends on the value alone."""
-    return F.shiftrightunsigned(F.xxhash64(column), 11) / F.lit(float(2**53))
+def _uniform(*columns: str) -> Column:
+    """A number in [0, 1) that depends on the values alone."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(2**53))
 
 
 def _cuts(keys: str) -> Column:

@@ -35,7 +35,7 @@ def basket_sequences(lines: DataFrame, heavy_after: int = HEAVY_AFTER) -> DataFr
 
     Baskets are ordered by the string order of their id. Customers of any length are ranked.
     """
-    keys = known_customers(lines).select(CUST, BASKET)
+    keys = known_customers(lines).select(CUST, BASKET, PROD)
     ranked = dense_positions(basket_items(lines), keys, CUST, BASKET, heavy_after)
     return ranked.select(CUST, F.col("pos").alias("basket_pos"), BASKET, PROD)
 

@@ -25,7 +25,7 @@ def vocabulary(lines: DataFrame, num_prods: int) -> DataFrame:
 
     Equal counts are ordered by code.
     """
-    size = num_prods - 1
+    size = max(num_prods - 1, 0)
     order = [-F.col("n_lines"), F.col(PROD)]
     counts = item_counts(lines)
     if size <= SINGLE_TASK_ROWS:
