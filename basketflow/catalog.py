@@ -7,13 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    ByteType,
-    FloatType,
-    IntegerType,
-    ShortType,
-)
+from pyspark.sql.types import ByteType, FloatType, IntegerType, ShortType
 
 from basketflow.operators import affinity, batches, embeddings, metrics, model, profiling
 from basketflow.operators import examples as ex

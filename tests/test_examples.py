@@ -51,7 +51,8 @@ def test_split_sizes_are_exact(spark, n, shares, sizes):
     customers = _customers(spark, n)
     found = ex.split_customers(customers, shares).collect()
     assert len(found) == n and len({r[CUST] for r in found}) == n
-    count = {r.split: r.n_customers for r in ex.split_sizes(ex.split_customers(customers, shares)).collect()}
+    counted = ex.split_sizes(ex.split_customers(customers, shares)).collect()
+    count = {r.split: r.n_customers for r in counted}
     assert tuple(count.get(part, 0) for part in ("train", "test", "valid")) == sizes
     digest = {r[CUST]: hashlib.md5(f"1234|{r[CUST]}".encode()).hexdigest() for r in found}
     ranked = sorted(found, key=lambda r: digest[r[CUST]])

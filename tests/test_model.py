@@ -72,7 +72,8 @@ def test_embeddings_have_a_row_per_label(vectors):
 @pytest.mark.parametrize("skip_pads", [False, True])
 def test_basket_vectors(spark, vectors, skip_pads):
     table = {r.idx: r.vector for r in vectors.collect()}
-    df = spark.createDataFrame([("a", [[3, 4, 0], [5, 0, 0]])], f"{CUST} string, baskets array<array<int>>")
+    schema = f"{CUST} string, baskets array<array<int>>"
+    df = spark.createDataFrame([("a", [[3, 4, 0], [5, 0, 0]])], schema)
     found = embeddings.basket_vectors(df, vectors, WIDTH, skip_pads).orderBy("basket_pos").collect()
     for row, items in zip(found, ([3, 4], [5])):
         size = len(items) if skip_pads else 3

@@ -9,7 +9,14 @@ from basketflow.operators import profiling, sampling, scoring, sequences, vocabu
 from basketflow.schemas import CUST
 from basketflow.sources import sample_tables
 
-EAGER = {"item_embeddings", "item_similarity", "basket_vectors", "next_basket_predictions", "evaluation"}
+# Queries that fit a model when they are built.
+EAGER = {
+    "item_embeddings",
+    "item_similarity",
+    "basket_vectors",
+    "next_basket_predictions",
+    "evaluation",
+}
 
 
 def plan(df):

@@ -153,7 +153,8 @@ def test_bounds_are_strict(lines):
 
 def test_customer_without_kept_basket_stays(spark):
     df = spark.createDataFrame(
-        [("a", "1", p) for p in "xyz"] + [("b", "2", "x")], f"{CUST} string, {BASKET} string, {PROD} string"
+        [("a", "1", p) for p in "xyz"] + [("b", "2", "x")],
+        f"{CUST} string, {BASKET} string, {PROD} string",
     )
     rows = seq.customer_sequences(df, max_items=3, max_seq=5).collect()
     assert {r[CUST]: r.baskets for r in rows} == {"a": [], "b": [["x"]]}

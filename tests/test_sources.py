@@ -39,6 +39,8 @@ def root(tmp_path):
     )
     _write(str(root / "time.csv"), "SHOP_WEEK,DATE_FROM,DATE_TO", "200607,20060410,20060416")
     _write(str(root / "readme.csv"), "a", "b")
+    _write(str(root / "more" / "transactions_3.csv"), header, _line("200609", "c3", "b4", "p3"))
+    _write(str(root / "transactions_4" / "part.csv"), header, _line("200610", "c4", "b5", "p4"))
     return str(root)
 
 
@@ -52,11 +54,18 @@ def test_landing(spark, root):
         (200608, 1.25),
         (200608, 1.25),
         (None, None),
+        (200609, 1.25),
+        (200610, 1.25),
     ]
+    assert len(transactions.select("_metadata.file_path").distinct().collect()) == 4
 
 
 def test_nothing_found_gives_empty_tables(spark, tmp_path):
-    calendar, transactions = landing.read_landing(spark, str(tmp_path))
+    for root in (tmp_path, tmp_path / "missing"):
+        _check_empty(*landing.read_landing(spark, str(root)))
+
+
+def _check_empty(calendar, transactions):
     assert calendar.count() == 0 and calendar.schema == CALENDAR_SCHEMA
     assert transactions.count() == 0 and transactions.schema == TRANSACTIONS_SCHEMA
 
