@@ -390,6 +390,17 @@ def metric_topk(spark, folder):
     return _rounded(df, "recall", "precision")
 
 
+@query
+def evaluation_recency(spark, folder):
+    """The whole evaluation of the recency scores."""
+    examples = _stored_examples(spark, folder)
+    n = metrics.example_count(examples)
+    weights = metrics.class_weights(ex.labels(examples), n, SETTINGS.num_labels)
+    scores = scoring.recency_scores(examples)
+    df = model.evaluate(examples, scores, SETTINGS.num_labels, weights=weights)
+    return _rounded(df, *df.columns)
+
+
 # Affinity, embeddings and the model
 
 
@@ -435,6 +446,32 @@ def basket_vectors(spark, folder):
     return embeddings.basket_vectors(_sequences(spark, folder), vectors, SETTINGS.num_labels)
 
 
+def _train_cells(spark: SparkSession, folder: str):
+    """Train examples, the popularity of items, and feature rows without embeddings."""
+    train = _stored_examples(spark, folder).where("split = 'train'")
+    popularity = model.item_popularity(train, SETTINGS.num_labels)
+    features = model.own_features(train, popularity, SETTINGS.num_labels)
+    return train, popularity, model.own_cells(train, features)
+
+
+@query
+def model_cells(spark, folder):
+    """What the model is fitted on: features and label of every item of a train history."""
+    _, _, cells = _train_cells(spark, folder)
+    return _rounded(cells, "recency", "frequency", "popularity").drop("fit")
+
+
+@query
+def model_weights(spark, folder):
+    """Training weight per label value; the rows stand for all customers and items."""
+    train, popularity, cells = _train_cells(spark, folder)
+    width = SETTINGS.num_labels
+    weights = metrics.class_weights(ex.labels(train), metrics.example_count(train), width)
+    rows = model.training_rows(train, cells, popularity, weights, width)
+    total = F.round(F.sum("weight"), 3).alias("weight")
+    return rows.groupBy(F.col("y").cast("bigint").alias("y")).agg(total)
+
+
 def _predicted(spark: SparkSession, folder: str):
     """Test examples with their own and background scores, and the class weights."""
     examples = _stored_examples(spark, folder)

@@ -146,6 +146,24 @@ CTES = {
               FROM usable WHERE basket_pos < n_baskets GROUP BY 1) USING ("CUST_CODE")
         GROUP BY 1, 2""",
     ),
+    # Items of the history of train customers, and their labels.
+    "train_x": (
+        ("usable",),
+        """
+        SELECT "CUST_CODE", idx, any_value(n_baskets - 1) AS n_x,
+               count(DISTINCT basket_pos) AS n_with,
+               max((basket_pos = n_baskets - 1)::INTEGER) AS in_last
+        FROM (SELECT "CUST_CODE", basket_pos, n_baskets,
+                     unnest(string_split(padded, ','))::BIGINT AS idx
+              FROM usable WHERE split = 'train' AND basket_pos < n_baskets)
+        GROUP BY 1, 2""",
+    ),
+    "train_labels": (
+        ("labels", "usable"),
+        """
+        SELECT * FROM labels
+        WHERE "CUST_CODE" IN (SELECT "CUST_CODE" FROM usable WHERE split = 'train')""",
+    ),
     "width": ((), f"SELECT range AS idx FROM range({WIDTH})"),
     "customers": (("usable",), 'SELECT DISTINCT "CUST_CODE" FROM usable'),
     # Every customer with every label.
@@ -436,6 +454,49 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT round(sum(y) / (SELECT count(*) FROM labels), {DIGITS}) AS recall,
                        round(sum(y) / count(*), {DIGITS}) AS precision FROM ranked_all""",
         ),
+        "evaluation_recency": _with(
+            ("losses", "outcomes", "ranked_all", "labels"),
+            f"""SELECT
+                  round((SELECT avg(loss * CASE WHEN y = 1 THEN w_pos ELSE w_neg END)
+                         FROM losses), {DIGITS}) AS loss,
+                  round((SELECT avg(((p > 0.5)::INTEGER = y)::INTEGER) FROM losses), {DIGITS})
+                      AS accuracy,
+                  round((SELECT avg(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END)
+                         FROM outcomes), {DIGITS}) AS precision,
+                  round((SELECT avg(CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END)
+                         FROM outcomes), {DIGITS}) AS recall,
+                  round((SELECT avg(CASE WHEN 2 * tp + fp + fn = 0 THEN 0
+                                         ELSE 2 * tp / (2 * tp + fp + fn) END)
+                         FROM outcomes), {DIGITS}) AS f1,
+                  round((SELECT sum(y) FROM ranked_all) / (SELECT count(*) FROM labels), {DIGITS})
+                      AS recall_top_k,
+                  round((SELECT sum(y) / count(*) FROM ranked_all), {DIGITS})
+                      AS precision_top_k""",
+        ),
+        "model_cells": _with(
+            ("train_x", "scores", "train_labels"),
+            f"""SELECT x."CUST_CODE", x.idx, (l.idx IS NOT NULL)::BIGINT AS y,
+                       round(s.p, {DIGITS}) AS recency,
+                       round(x.n_with / x.n_x, {DIGITS}) AS frequency,
+                       x.in_last::DOUBLE AS in_last,
+                       round(ln(o.n_own / t.n + 1e-6), {DIGITS}) AS popularity
+                FROM train_x x
+                JOIN scores s ON s."CUST_CODE" = x."CUST_CODE" AND s.idx = x.idx
+                LEFT JOIN train_labels l ON l."CUST_CODE" = x."CUST_CODE" AND l.idx = x.idx
+                JOIN (SELECT idx, count(*) AS n_own FROM train_x GROUP BY 1) o ON o.idx = x.idx
+                CROSS JOIN (SELECT count(DISTINCT "CUST_CODE") AS n FROM train_x) t""",
+        ),
+        "model_weights": _with(
+            ("train_labels", "train_x", "width"),
+            """SELECT y, round(sum(CASE WHEN pos = 0 OR pos = n THEN cells
+                                        ELSE n / 2 END), 3) AS weight
+               FROM (SELECT y, pos, n, CASE WHEN y = 1 THEN pos ELSE n - pos END AS cells
+                     FROM (SELECT w.idx, count(l.idx) AS pos
+                           FROM width w LEFT JOIN train_labels l ON l.idx = w.idx GROUP BY 1)
+                     CROSS JOIN (SELECT count(DISTINCT "CUST_CODE") AS n FROM train_x)
+                     CROSS JOIN (SELECT unnest([0, 1])::BIGINT AS y))
+               WHERE cells > 0 GROUP BY 1""",
+        ),
         "item_affinity": _with(
             ("pairs", "kept"),
             f"""SELECT idx_a, idx_b, n_both,
