@@ -206,8 +206,9 @@ def evaluate(
     ranking = ranking.select(
         F.col("recall").alias("recall_top_k"), F.col("precision").alias("precision_top_k")
     )
-    one = F.lit(1).alias("_row")
-    return summary(outcomes, n).select("*", one).join(ranking.select("*", one), "_row").drop("_row")
+    # Both are one row; stacked, each column has one value.
+    stacked = summary(outcomes, n).unionByName(ranking, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def save_model(model: PipelineModel, path: str) -> None:
