@@ -1,7 +1,6 @@
 """Session settings the plans rely on, and the shared scratch folder."""
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,15 +34,16 @@ def local_session(cpus: int | str = "*", app: str = "basketflow", **conf) -> Spa
     return spark
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder the cluster names in spark.checkpoint.dir.
+def scratch_root(spark: SparkSession) -> str:
+    """The folder shared by all executors: spark.checkpoint.dir.
 
-    A temporary folder of this machine is used only where that setting is missing and Spark runs
-    in one process, as in tests.
+    Where that is not set, as in tests, a folder below the warehouse serves, which all executors
+    share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="basketflow-")
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    return root or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder."""
+    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
