@@ -1,17 +1,27 @@
 """One query per corpus operator, over its whole table, with production parameters."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketflow.llm import jaccard_join
-from basketflow.llm.shared import documents
+from basketflow.llm import jaccard_join, language_id
+from basketflow.llm.shared import crc_bucket, documents
 
 
 def op2_jaccard_components(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(documents(spark, folder))
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model = language_id.fit(docs.where(crc_bucket("doc_id", 5) != 0))
+    held_out = F.coalesce(crc_bucket("doc_id", 5) == 0, F.lit(False))
+    found = language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
     "op2_jaccard_components": op2_jaccard_components,
+    "op3_language_id": op3_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -3,14 +3,17 @@
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketflow.sources.tables import materialize
 
-__all__ = ["crc_bucket", "documents", "key_bitmap", "in_bitmap", "materialize", "ship"]
+__all__ = ["crc_bucket", "documents", "key_bitmap", "in_bitmap", "map_text", "materialize", "ship"]
 
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _SHIPPED: set[str] = set()
@@ -66,3 +69,33 @@ def in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which of the (unsigned) keys have their bit set."""
     at = keys & np.uint64(len(bitmap) * 8 - 1)
     return (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def map_text(
+    docs: DataFrame,
+    compute: Callable[[pa.Array], list[pa.Array]],
+    added: dict[str, str],
+    beside: dict[str, Column] | None = None,
+    drop_text: bool = False,
+) -> DataFrame:
+    """``docs`` with columns that ``compute`` makes of a batch of its text column.
+
+    ``beside`` has columns that Spark computes in the same pass. Columns of ``docs`` with a name
+    that is added are replaced.
+    """
+    beside = beside or {}
+    kept = [c for c in docs.columns if c not in added and c not in beside]
+    source = docs.select(
+        *[F.col(f"`{c}`") for c in kept], *[v.alias(k) for k, v in beside.items()]
+    )
+    where = source.columns.index("text")
+    passed = [i for i, c in enumerate(source.columns) if not (drop_text and i == where)]
+    fields = [source.schema.fields[i] for i in passed]
+    schema = T.StructType(fields + [T.StructField(k, T._parse_datatype_string(v)) for k, v in added.items()])
+
+    def run(batches):
+        for batch in batches:
+            columns = [batch.column(i) for i in passed] + compute(batch.column(where))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return source.mapInArrow(run, schema)
