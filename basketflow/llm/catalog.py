@@ -1,9 +1,10 @@
 """One query per corpus operator, over its whole table, with production parameters."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import jaccard_join, language_id
+from basketflow.llm import jaccard_join, language_id, packing
 from basketflow.llm.shared import crc_bucket, documents
 
 
@@ -19,9 +20,15 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(documents(spark, folder), tokenizer, with_ids=False)
+
+
 QUERIES = {
     "op2_jaccard_components": op2_jaccard_components,
     "op3_language_id": op3_language_id,
+    "op9_packing": op9_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
