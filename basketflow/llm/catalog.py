@@ -4,10 +4,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import jaccard_join, language_id, packing
+from basketflow.llm import jaccard_join, language_id, mixing, packing
 from basketflow.llm.shared import crc_bucket, documents
 
 
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    taken = mixing.mix(documents(spark, folder))
+    each = taken.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("repeats"))))
+    return each.select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("copies") * F.col("size")).alias("taken"),
+        "copies",
+    )
+
+
 def op2_jaccard_components(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(documents(spark, folder))
 
@@ -26,6 +39,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op2_jaccard_components": op2_jaccard_components,
     "op3_language_id": op3_language_id,
     "op9_packing": op9_packing,
