@@ -7,7 +7,9 @@ a linked pair must meet in a list that both merge. Which lists are long is decid
 grams seen in many documents; any fixed order of grams gives right results, a good one short lists.
 Spark's shuffle by gram merges the short lists. A pair whose merged count, and the most that the
 skipped lists can add, reaches T is probed: the smaller set is looked up in the larger one by
-binary search, and the pair is kept if it has T grams in common.
+binary search, and the pair is kept if it has T grams in common. Before that, bit signatures of about
+two bits per gram are compared: bits that differ belong to grams that are not shared, so too many of
+them rule a pair out without moving its sets.
 
 A group of g near copies has g * g / 2 links, so links are not listed one by one. Equal sets are one
 class from the start. Every merged list first pairs its members with its most central member only.
@@ -71,6 +73,21 @@ def merged(size: int, percent: int = PERCENT) -> int:
     return size - -(-percent * size // 100) + 1
 
 
+def _signature(grams: np.ndarray) -> bytes:
+    """A bit for every gram, of a power of two of bits that is at least twice their number."""
+    bits = np.zeros(1 << max(6, int(2 * len(grams) - 1).bit_length()), dtype=bool)
+    bits[grams & np.uint64(len(bits) - 1)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _apart(left: bytes, right: bytes) -> int:
+    """At least so many grams are in one set only."""
+    a, b = np.frombuffer(left, np.uint8), np.frombuffer(right, np.uint8)
+    size = min(len(a), len(b))
+    a, b = (np.bitwise_or.reduce(x.reshape(-1, size), axis=0) for x in (a, b))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _sets_of(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
     for first, _, data, offsets in text_slices(column):
         yield from enumerate(gram_sets(data, offsets, size), first)
@@ -88,34 +105,36 @@ def _first_pass(size: int, percent: int):
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            nodes, sizes, seen, keys = [], [], set(), []
+            nodes, sizes, seen, keys, marks = [], [], set(), [], []
             for _, grams in _sets_of(batch.column(1), size):
                 node = _node(grams) if len(grams) else None
                 nodes.append(node)
                 sizes.append(len(grams))
+                marks.append(None)
                 if node is not None and node not in seen:
                     seen.add(node)
+                    marks[-1] = _signature(grams)
                     keys.append(grams[: merged(len(grams), percent)])
-            yield _rows(np.zeros(len(ids), np.int32), ids, nodes, sizes)
+            yield _rows(np.zeros(len(ids), np.int32), ids, nodes, sizes, marks)
             if keys:
                 key, count = np.unique(np.concatenate(keys), return_counts=True)
                 key, count = key[count > 1], count[count > 1]
-                yield _rows(
-                    np.ones(len(key), np.int32), [None] * len(key), key.view(np.int64), count
-                )
+                none = [None] * len(key)
+                yield _rows(np.ones(len(key), np.int32), none, key.view(np.int64), count, none)
 
     return run
 
 
-def _rows(kind, ids, key, n) -> pa.RecordBatch:
+def _rows(kind, ids, key, n, marks) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(kind, pa.int32()),
             pa.array(ids, pa.int64()),
             pa.array(key, pa.int64()),
             pa.array(n, pa.int64()),
+            pa.array(marks, pa.binary()),
         ],
-        names=["kind", "doc_id", "key", "n"],
+        names=["kind", "doc_id", "key", "n", "signature"],
     )
 
 
@@ -179,6 +198,21 @@ def _sets_with(nodes, size: int):
     return run
 
 
+def _similar(percent: int):
+    """Keeps the pairs that their signatures do not rule out."""
+
+    def run(batches):
+        for batch in batches:
+            rows = zip(*[batch.column(i).to_pylist() for i in range(2, 6)])
+            keep = [
+                _apart(a, b) <= x + y - 2 * -(-percent * (x + y) // (100 + percent))
+                for x, y, a, b in rows
+            ]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _probe(percent: int):
     """Keeps the pairs that have enough grams in common."""
 
@@ -214,7 +248,9 @@ def _candidates(pairs: DataFrame, percent: int) -> DataFrame:
         .agg(F.count("*").alias("met"), F.max("pos").alias("pos"), F.max("pos2").alias("pos2"))
     )
     most = "met + least(n - pos, n2 - pos2) - 1"
-    return met.where(f"{100 + percent} * ({most}) >= {percent} * (n + n2)").select("node", "node2")
+    return met.where(f"{100 + percent} * ({most}) >= {percent} * (n + n2)").select(
+        "node", "node2", "n", "n2"
+    )
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -267,10 +303,18 @@ def jaccard_components(
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text")
     first = materialize(
-        texts.mapInArrow(_first_pass(size, percent), "kind int, doc_id long, key long, n long"),
+        texts.mapInArrow(
+            _first_pass(size, percent),
+            "kind int, doc_id long, key long, n long, signature binary",
+        ),
         "sets",
     )
     nodes = first.where("kind = 0").select("doc_id", F.col("key").alias("node"), "n")
+    signatures = (
+        first.where("signature is not null")
+        .select(F.col("key").alias("node"), "signature")
+        .dropDuplicates(["node"])
+    )
     frequent = first.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n"))
     long = spark.sparkContext.broadcast(
         key_bitmap(frequent.where(F.col("n") >= long_list), "key", LONG_BITS)
@@ -302,16 +346,24 @@ def jaccard_components(
     starred = materialize(
         _candidates(postings.join(hubs, "key").where("node <> node2"), percent), "pairs"
     )
-    links = _linked(texts, starred, size, percent)
+    links = _linked(texts, starred, signatures, size, percent)
     labels = components(links)
     rest = materialize(_left_over(postings, labels, starred, percent), "pairs")
     if not rest.isEmpty():
-        labels = components(links.union(_linked(texts, rest, size, percent)))
+        labels = components(links.union(_linked(texts, rest, signatures, size, percent)))
     return _labelled(nodes, labels)
 
 
-def _linked(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+def _linked(
+    texts: DataFrame, pairs: DataFrame, signatures: DataFrame, size: int, percent: int
+) -> DataFrame:
     """The pairs that are linked."""
+    second = signatures.select(F.col("node").alias("node2"), F.col("signature").alias("signature2"))
+    marked = pairs.join(second, "node2").join(signatures, "node")
+    marked = marked.select("node", "node2", "n", "n2", "signature", "signature2")
+    pairs = materialize(
+        marked.mapInArrow(_similar(percent), "node long, node2 long"), "similar"
+    )
     used = pairs.select(F.explode(F.array("node", "node2")).alias("node"))
     wanted = texts.sparkSession.sparkContext.broadcast(key_bitmap(used, "node", NODE_BITS))
     sets = materialize(
@@ -363,8 +415,14 @@ def _left_over(
         F.col("pos").alias("pos2"),
     )
     pairs = _candidates(outside.join(other, "key").where("label <> label2"), percent)
-    ordered = [F.least("node", "node2").alias("node"), F.greatest("node", "node2").alias("node2")]
-    return pairs.select(*ordered).distinct().join(done.select(*ordered), ["node", "node2"], "anti")
+    # Either end may have been the one outside; the sizes follow the ends.
+    swap = F.col("node") > F.col("node2")
+    ordered = [
+        F.when(swap, F.col(b)).otherwise(F.col(a)).alias(a)
+        for a, b in (("node", "node2"), ("node2", "node"), ("n", "n2"), ("n2", "n"))
+    ]
+    seen = done.select(*ordered[:2])
+    return pairs.select(*ordered).distinct().join(seen, ["node", "node2"], "anti")
 
 
 def _labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
