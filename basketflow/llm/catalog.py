@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import jaccard_join, language_id, mixing, packing, secret_scan
+from basketflow.llm import jaccard_join, language_id, mixing, packing, personal_data, secret_scan
 from basketflow.llm.shared import crc_bucket, documents
 
 
@@ -38,6 +38,11 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan_secrets(docs, secret_scan.fit(docs), drop_text=True)
 
 
+def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    return personal_data.scan_personal_data(docs, personal_data.fit(docs), drop_text=True)
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(documents(spark, folder), tokenizer, with_ids=False)
@@ -48,6 +53,7 @@ QUERIES = {
     "op2_jaccard_components": op2_jaccard_components,
     "op3_language_id": op3_language_id,
     "op4_secret_scan": op4_secret_scan,
+    "op5_personal_data": op5_personal_data,
     "op9_packing": op9_packing,
 }
 
