@@ -4,7 +4,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import jaccard_join, language_id, mixing, packing, personal_data, secret_scan
+from basketflow.llm import (
+    jaccard_join,
+    language_id,
+    mixing,
+    packing,
+    personal_data,
+    quality_rules,
+    secret_scan,
+)
 from basketflow.llm.shared import crc_bucket, documents
 
 
@@ -43,6 +51,23 @@ def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.scan_personal_data(docs, personal_data.fit(docs), drop_text=True)
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder.rstrip('/')}/labels.parquet")
+    judged = quality_rules.judge(docs, quality_rules.fit(docs, labels), drop_text=True)
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "rule",
+    )
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(documents(spark, folder), tokenizer, with_ids=False)
@@ -54,6 +79,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_secret_scan": op4_secret_scan,
     "op5_personal_data": op5_personal_data,
+    "op6_quality_rules": op6_quality_rules,
     "op9_packing": op9_packing,
 }
 
