@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from basketflow.llm import (
     jaccard_join,
     language_id,
+    lm_score,
     mixing,
     packing,
     personal_data,
@@ -68,6 +69,11 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    part = crc_bucket("doc_id", 7)
+    return lm_score.score(documents(spark, folder), part != 2, part == 2)
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(documents(spark, folder), tokenizer, with_ids=False)
@@ -80,6 +86,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op5_personal_data": op5_personal_data,
     "op6_quality_rules": op6_quality_rules,
+    "op7_lm_score": op7_lm_score,
     "op9_packing": op9_packing,
 }
 
