@@ -4,7 +4,9 @@ Such a tokenizer gives a text the ids of its white-space separated words in orde
 word of a task is encoded once and texts are put together from the known words by array indexing.
 """
 
+import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +14,8 @@ from tokenizers import Tokenizer
 
 from basketflow.llm.textbytes import text_slices
 
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 1_200_000
+_JOINED = 500
 _ENCODERS: dict = {}
 
 
@@ -20,7 +23,11 @@ class WordEncoder:
     """Encodes by word; keeps at most about KNOWN_WORDS words beyond those of one slice."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self._tokenizer = Tokenizer.from_file(path)
+        special = self._tokenizer.get_added_tokens_decoder()
+        self._mark_id = min((i for i, token in special.items() if token.special), default=None)
+        self._mark = special[self._mark_id].content if self._mark_id is not None else None
         self._forget()
 
     def _forget(self) -> None:
@@ -29,16 +36,35 @@ class WordEncoder:
         self._ends = np.zeros(1, np.int64)
 
     def _learn(self, unknown: list[bytes]) -> None:
-        encoded = self._tokenizer.encode_batch(
-            [word.decode() for word in unknown], add_special_tokens=False
-        )
-        ids = [e.ids for e in encoded]
-        for word in unknown:
+        marked = [] if self._mark is None else [w for w in unknown if self._mark.encode() in w]
+        alone = unknown if self._mark is None else marked
+        together = [] if self._mark is None else sorted(set(unknown) - set(marked))
+        ids, sizes = self._encode_alone(alone)
+        more, more_sizes = self._encode_together(together)
+        for word in chain(alone, together):
             self._known[word] = len(self._known)
-        new = np.fromiter((i for word in ids for i in word), np.uint32)
-        ends = np.cumsum([len(word) for word in ids]) + self._ends[-1]
-        self._ids = np.concatenate((self._ids, new))
-        self._ends = np.concatenate((self._ends, ends.astype(np.int64)))
+        ends = np.cumsum(np.concatenate((sizes, more_sizes))) + self._ends[-1]
+        self._ids = np.concatenate((self._ids, ids, more))
+        self._ends = np.concatenate((self._ends, ends))
+
+    def _encode_alone(self, unknown: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [word.decode() for word in unknown]
+        ids = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32)
+        return flat, np.array([len(word) for word in ids], np.int64)
+
+    def _encode_together(self, unknown: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Many words in one text, a special token after each to tell them apart."""
+        texts = [
+            (self._mark.join(w.decode() for w in unknown[i : i + _JOINED]) + self._mark)
+            for i in range(0, len(unknown), _JOINED)
+        ]
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        flat = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32)
+        mark = flat == self._mark_id
+        ends = np.flatnonzero(mark)
+        sizes = np.diff(np.concatenate(([-1], ends))) - 1
+        return flat[~mark], sizes.astype(np.int64)
 
     def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of every text of a column; none for a null text."""
@@ -48,11 +74,11 @@ class WordEncoder:
             raw = data.tobytes()
             bounds = offsets.tolist()
             texts = [raw[low:high].split() for low, high in zip(bounds, bounds[1:])]
-            unknown = {word for text in texts for word in text if word not in self._known}
+            unknown = [word for word in set().union(*texts) if word not in self._known]
             if unknown:
-                self._learn(list(unknown))
-            known = self._known
-            numbers = np.fromiter((known[word] for text in texts for word in text), np.int64)
+                self._learn(unknown)
+            every = map(self._known.__getitem__, chain.from_iterable(texts))
+            numbers = np.fromiter(every, np.int64)
             sizes = self._ends[numbers + 1] - self._ends[numbers]
             before = np.cumsum(sizes) - sizes
             at = np.repeat(self._ends[numbers] - before, sizes) + np.arange(sizes.sum())
