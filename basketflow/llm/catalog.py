@@ -13,8 +13,9 @@ from basketflow.llm import (
     personal_data,
     quality_rules,
     secret_scan,
+    vector_search,
 )
-from basketflow.llm.shared import crc_bucket, documents
+from basketflow.llm.shared import crc_bucket, documents, ship
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,6 +80,12 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), tokenizer, with_ids=False)
 
 
+def op10_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    vectors = spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet")
+    return vector_search.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_jaccard_components": op2_jaccard_components,
@@ -88,6 +95,28 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_lm_score": op7_lm_score,
     "op9_packing": op9_packing,
+    "op10_vector_search": op10_vector_search,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# What is learned has no SQL; op10's error bounds are wide enough for the exact result.
+ORACLE_SQL: dict[str, str] = {
+    "op10_vector_search": """
+        with valid as (
+            select vec_id, embedding::double[] as v from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+              and len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ),
+        scored as (
+            select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v) as score
+            from valid q join valid c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+            where q.vec_id % 20 = 0
+        ),
+        ranked as (
+            select query_id, vec_id, score,
+                   row_number() over (partition by query_id order by score desc, vec_id) as rank
+            from scored
+        )
+        select query_id, rank::integer as rank, vec_id, score from ranked where rank <= 20
+    """,
+}
