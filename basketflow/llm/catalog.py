@@ -13,6 +13,7 @@ from basketflow.llm import (
     personal_data,
     quality_rules,
     secret_scan,
+    token_shards,
     vector_search,
 )
 from basketflow.llm.shared import crc_bucket, documents, ship
@@ -75,6 +76,11 @@ def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.score(documents(spark, folder), part != 2, part == 2)
 
 
+def op8_token_shards(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_shards.training_order(documents(spark, folder), tokenizer)
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(documents(spark, folder), tokenizer, with_ids=False)
@@ -94,6 +100,7 @@ QUERIES = {
     "op5_personal_data": op5_personal_data,
     "op6_quality_rules": op6_quality_rules,
     "op7_lm_score": op7_lm_score,
+    "op8_token_shards": op8_token_shards,
     "op9_packing": op9_packing,
     "op10_vector_search": op10_vector_search,
 }
