@@ -1,10 +1,83 @@
-"""A training corpus in five stages, each written and read again before the next."""
+"""A training corpus in five stages, each written and read again before the next.
 
+Language identification drops documents without a recognisable language; the n-gram Jaccard join
+keeps one document of each group of near copies; the secret scan replaces secrets in the texts; the
+mix takes documents of every source as often as its weight asks; packing cuts them into sequences.
+All but the last return the columns of ``documents``.
+"""
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from basketflow.llm import jaccard_join, language_id, mixing, packing, secret_scan
+from basketflow.llm.shared import documents, materialize, ship
+
+# A text whose most likely language is less likely than this has none.
+LEAST_SCORE = 0.35
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; a null ``lang`` takes the one recognised.
+
+    Null and empty texts, those without a letter, and those below LEAST_SCORE go.
+    """
+    ship(spark)
+    found = language_id.predict(docs, language_id.fit(docs))
+    kept = found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest doc_id of every group of linked documents.
+
+    Of rows that repeat a doc_id, those with different texts stay if the doc_id is its group's
+    smallest, and equal ones stay once; rows without a doc_id likewise.
+    """
+    ship(spark)
+    groups = jaccard_join.jaccard_components(docs)
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    counted = first.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"))
+    counted = materialize(counted, "kept")
+    same = docs["doc_id"].eqNullSafe(F.col("_id"))
+    once = docs.join(counted.where("_rows = 1"), same, "left_semi")
+    again = docs.join(counted.where("_rows > 1"), same, "left_semi")
+    return once.unionByName(again.dropDuplicates(["doc_id", "text"]))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, every secret in their texts replaced by its kind; n_chars follows."""
+    ship(spark)
+    found = secret_scan.scan_secrets(docs, secret_scan.fit(docs))
+    changed = found.withColumn("text", F.col("redacted"))
+    if "n_chars" in docs.columns:
+        length = F.length("redacted").cast(docs.schema["n_chars"].dataType)
+        changed = changed.withColumn(
+            "n_chars", F.when(F.col("spans") != "", length).otherwise(F.col("n_chars"))
+        )
+    return changed.select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    ship(spark)
+    return mixing.apply_mix(docs, mixing.mix(docs))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The packed pieces of all documents; a document taken twice is packed twice."""
+    ship(spark)
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(docs, tokenizer, with_ids=False)
 
-from basketflow.llm.shared import documents, materialize
 
-STAGES = []
+STAGES = [
+    ("language", keep_languages),
+    ("near_copies", drop_near_copies),
+    ("secrets", redact_secrets),
+    ("mix", mix_sources),
+    ("pack", pack_sequences),
+]
 
 # Trained models decide in several stages; SQL cannot express them.
 ORACLE_SQL = None
