@@ -32,8 +32,10 @@ from basketflow.llm.textbytes import mix, text_slices, words
 
 WORDS = 5
 PERCENT = 75
-# A gram that was met in this many documents, beside others of the same batch, has a long list.
-LONG_LIST = 16
+# So many times the grams that went behind are counted beyond them.
+REACH = 3
+# Grams that are merged for at least so many documents come later in the order, step by step.
+LONG_LISTS = (4, 32, 256)
 LONG_BITS = 26
 SHARED_BITS = 27
 NODE_BITS = 26
@@ -93,87 +95,114 @@ def _sets_of(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
         yield from enumerate(gram_sets(data, offsets, size), first)
 
 
-def _divided(grams: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, int]:
-    """The grams with those of long lists last, and the number of the others."""
-    late = in_bitmap(long, grams)
-    return np.concatenate((grams[~late], grams[late])), int(len(grams) - late.sum())
+def _divided(grams: np.ndarray, long: list[np.ndarray]) -> tuple[np.ndarray, int]:
+    """The grams in the order of their lists' lengths, and the number with short lists."""
+    level = np.zeros(len(grams), np.int8)
+    for bitmap in long:
+        level += in_bitmap(bitmap, grams)
+    return grams[np.argsort(level, kind="stable")], int((level == 0).sum())
 
 
-def _first_pass(size: int, percent: int):
-    """Per document its node and set size (kind 0); per batch the grams met twice (kind 1)."""
+def _first_pass(size: int):
+    """Per document its node and set size, and the signature where the node is new to the batch."""
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            nodes, sizes, seen, keys, marks = [], [], set(), [], []
+            nodes, sizes, marks, seen = [], [], [], set()
             for _, grams in _sets_of(batch.column(1), size):
                 node = _node(grams) if len(grams) else None
+                fresh = node is not None and node not in seen
+                seen.add(node)
                 nodes.append(node)
                 sizes.append(len(grams))
-                marks.append(None)
-                if node is not None and node not in seen:
-                    seen.add(node)
-                    marks[-1] = _signature(grams)
-                    keys.append(grams[: merged(len(grams), percent)])
-            yield _rows(np.zeros(len(ids), np.int32), ids, nodes, sizes, marks)
+                marks.append(_signature(grams) if fresh else None)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(nodes, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(marks, pa.binary()),
+                ],
+                names=["doc_id", "node", "n", "signature"],
+            )
+
+    return run
+
+
+def _distinct_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(node, grams) of the distinct sets of a batch."""
+    seen = set()
+    for _, grams in _sets_of(batch.column(1), size):
+        if len(grams) and (node := _node(grams)) not in seen:
+            seen.add(node)
+            yield node, grams
+
+
+def _by_hash(size: int, percent: int):
+    """(key, n): how many sets of a batch would merge a gram's list if the order were by hash."""
+
+    def run(batches):
+        for batch in batches:
+            keys = [g[: merged(len(g), percent)] for _, g in _distinct_sets(batch, size)]
             if keys:
                 key, count = np.unique(np.concatenate(keys), return_counts=True)
-                key, count = key[count > 1], count[count > 1]
-                none = [None] * len(key)
-                yield _rows(np.ones(len(key), np.int32), none, key.view(np.int64), count, none)
+                yield pa.RecordBatch.from_pydict({"key": key.view(np.int64), "n": count})
 
     return run
 
 
-def _rows(kind, ids, key, n, marks) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(kind, pa.int32()),
-            pa.array(ids, pa.int64()),
-            pa.array(key, pa.int64()),
-            pa.array(n, pa.int64()),
-            pa.array(marks, pa.binary()),
-        ],
-        names=["kind", "doc_id", "key", "n", "signature"],
-    )
+def _beyond(long, size: int, percent: int):
+    """(key, n) as by ``_by_hash``, of the grams that come next where grams went behind."""
+
+    def run(batches):
+        for batch in batches:
+            keys = []
+            for _, grams in _distinct_sets(batch, size):
+                count = merged(len(grams), percent)
+                ordered, _ = _divided(grams, long.value)
+                gone = int((ordered[:count] > grams[count - 1]).sum())
+                keys.append(grams[count : count + REACH * gone])
+            if keys:
+                key, count = np.unique(np.concatenate(keys), return_counts=True)
+                yield pa.RecordBatch.from_pydict({"key": key.view(np.int64), "n": count})
+
+    return run
+
+
+def _moved_up(long, size: int, percent: int):
+    """Grams that a set merges only because long lists went behind them."""
+
+    def run(batches):
+        for batch in batches:
+            keys = []
+            for _, grams in _distinct_sets(batch, size):
+                count = merged(len(grams), percent)
+                ordered, _ = _divided(grams, long.value)
+                keys.append(ordered[:count][ordered[:count] > grams[count - 1]])
+            if keys:
+                key = np.unique(np.concatenate(keys))
+                yield pa.RecordBatch.from_pydict({"key": key.view(np.int64)})
+
+    return run
 
 
 def _postings(long, shared, size: int, percent: int):
-    """(key, node, n, pos, light) of the merged lists; ``shared`` tells which lists matter."""
+    """(key, node, n, pos, light) of the merged lists that may have another member."""
 
     def run(batches):
-        long_bits, shared_bits = long.value, shared.value if shared is not None else None
         for batch in batches:
-            keys, nodes, counts, seen = [], [], [], set()
-            sizes, places, lights = [], [], []
-            for _, grams in _sets_of(batch.column(1), size):
-                n = len(grams)
-                if not n or (node := _node(grams)) in seen:
-                    continue
-                seen.add(node)
-                ordered, light = _divided(grams, long_bits)
-                ordered = ordered[: merged(n, percent)]
-                pos = np.arange(len(ordered), dtype=np.int32)
-                if shared_bits is not None:
-                    pos = pos[in_bitmap(shared_bits, ordered)]
-                    ordered = ordered[pos]
-                keys.append(ordered)
-                places.append(pos)
-                nodes.append(node)
-                counts.append(len(ordered))
-                sizes.append(n)
-                lights.append(light)
-            if not keys:
-                continue
-            columns = {
-                "key": np.concatenate(keys).view(np.int64),
-                "node": np.repeat(np.array(nodes, np.int64), counts),
-            }
-            if shared_bits is not None:
-                columns["n"] = np.repeat(np.array(sizes, np.int32), counts)
-                columns["pos"] = np.concatenate(places)
-                columns["light"] = np.repeat(np.array(lights, np.int32), counts)
-            yield pa.RecordBatch.from_pydict(columns)
+            parts = {"key": [], "node": [], "n": [], "pos": [], "light": []}
+            for node, grams in _distinct_sets(batch, size):
+                ordered, light = _divided(grams, long.value)
+                ordered = ordered[: merged(len(grams), percent)]
+                pos = np.flatnonzero(in_bitmap(shared.value, ordered))
+                parts["key"].append(ordered[pos].view(np.int64))
+                parts["pos"].append(pos.astype(np.int32))
+                parts["node"].append(np.full(len(pos), node, np.int64))
+                parts["n"].append(np.full(len(pos), len(grams), np.int32))
+                parts["light"].append(np.full(len(pos), light, np.int32))
+            if parts["key"]:
+                yield pa.RecordBatch.from_pydict({k: np.concatenate(v) for k, v in parts.items()})
 
     return run
 
@@ -291,7 +320,7 @@ def jaccard_components(
     docs: DataFrame,
     size: int = WORDS,
     percent: int = PERCENT,
-    long_list: int = LONG_LIST,
+    long_lists: tuple[int, ...] = LONG_LISTS,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``.
 
@@ -300,33 +329,33 @@ def jaccard_components(
     share their id; a null doc_id is kept and never the smallest. An empty table gives no rows.
     Columns other than doc_id and text are not read.
     """
-    spark = docs.sparkSession
+    share = docs.sparkSession.sparkContext.broadcast
     texts = docs.select("doc_id", "text")
-    first = materialize(
+    nodes = materialize(
         texts.mapInArrow(
-            _first_pass(size, percent),
-            "kind int, doc_id long, key long, n long, signature binary",
+            _first_pass(size), "doc_id long, node long, n long, signature binary"
         ),
         "sets",
     )
-    nodes = first.where("kind = 0").select("doc_id", F.col("key").alias("node"), "n")
     signatures = (
-        first.where("signature is not null")
-        .select(F.col("key").alias("node"), "signature")
-        .dropDuplicates(["node"])
-    )
-    frequent = first.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n"))
-    long = spark.sparkContext.broadcast(
-        key_bitmap(frequent.where(F.col("n") >= long_list), "key", LONG_BITS)
-    )
-    lists = texts.mapInArrow(_postings(long, None, size, percent), "key long, node long")
-    shared = lists.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    shared = spark.sparkContext.broadcast(
-        key_bitmap(shared.where("low < high"), "key", SHARED_BITS)
+        nodes.where("signature is not null").select("node", "signature").dropDuplicates(["node"])
     )
+    lists = texts.mapInArrow(_by_hash(size, percent), "key long, n long")
+    lists = lists.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
+    lists = materialize(lists, "lists")
+    long = _long(lists, long_lists)
+    if long:
+        more = texts.mapInArrow(_beyond(share(long), size, percent), "key long, n long")
+        more = more.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min(long_lists))
+        more = _long(materialize(more, "lists"), long_lists)
+        long = [a | b for a, b in zip(long, more)]
+    long = share(long)
+    # A list with one member by hash may have another that has moved it up, so both kinds count.
+    moved = texts.mapInArrow(_moved_up(long, size, percent), "key long")
+    shared = key_bitmap(lists, "key", SHARED_BITS) | key_bitmap(moved, "key", SHARED_BITS)
     postings = materialize(
         texts.mapInArrow(
-            _postings(long, shared, size, percent),
+            _postings(long, share(shared), size, percent),
             "key long, node long, n int, pos int, light int",
         ).distinct(),
         "postings",
@@ -351,7 +380,11 @@ def jaccard_components(
     rest = materialize(_left_over(postings, labels, starred, percent), "pairs")
     if not rest.isEmpty():
         labels = components(links.union(_linked(texts, rest, signatures, size, percent)))
-    return _labelled(nodes, labels)
+    return _labelled(nodes.select("doc_id", "node", "n"), labels)
+
+
+def _long(lists: DataFrame, least: tuple[int, ...]) -> list[np.ndarray]:
+    return [key_bitmap(lists.where(F.col("n") >= n), "key", LONG_BITS) for n in least]
 
 
 def _linked(

@@ -50,11 +50,13 @@ def crc_bucket(key: str, buckets: int) -> Column:
 def key_bitmap(keys: DataFrame, key: str, bits: int) -> np.ndarray:
     """A bitmap of 2**bits bits with the bit of every key set; its size does not grow with rows.
 
-    Only 4 KB pieces that hold a bit reach the driver, 2**bits / 8 bytes at most.
+    Only 4 KB pieces that hold a bit reach the driver, 2**bits / 8 bytes at most. The bits are
+    dealt out by piece before they are put together, so that no task sends pieces of its own.
     """
     bit = F.pmod(F.col(key), F.lit(1 << bits)) + 1
     pieces = (
         keys.select(F.bitmap_bucket_number(bit).alias("piece"), F.bitmap_bit_position(bit).alias("at"))
+        .repartition("piece")
         .groupBy("piece")
         .agg(F.bitmap_construct_agg("at").alias("bits"))
     )
