@@ -40,6 +40,11 @@ AROUND = 3
 LONGEST = 128
 FEATURES = 1 << 13
 _BATCH = 1024
+# Words with a digit or an @, the few words between them, and four on either side.
+_STRETCH = (
+    r"(?:[^\s0-9@]{1,40}\s+){0,4}"
+    r"(?:[^\s0-9@]{0,40}[0-9@]\S{0,60}(?:\s+[^\s0-9@]{1,40}){0,4}\s{0,3}){1,20}"
+)
 _MARKED = members("0123456789@")
 _DIGITS = members("0123456789")
 
@@ -188,13 +193,16 @@ def fit(docs: DataFrame, rows: int = ROWS) -> PersonalModel:
     Of each row at most ten stretches with a digit or an @ are read. Without a base finding among
     them nothing is learned and nothing added.
     """
-    around = F.regexp_extract_all("text", F.lit("(?:\\S{1,40}\\s+){0,4}\\S{0,40}[0-9@]\\S{0,60}(?:\\s+\\S{1,40}){0,4}"), F.lit(0))
+    around = F.regexp_extract_all("text", F.lit(_STRETCH), F.lit(0))
     sample = (
         docs.where(F.col("text").rlike("[0-9@]"))
-        .select(F.xxhash64("text").alias("digest"), "text")
+        .select(
+            F.xxhash64("text").alias("digest"),
+            F.concat_ws("\n", F.slice(around, 1, 10)).substr(1, 2000).alias("text"),
+        )
         .orderBy("digest", "text")
         .limit(rows)
-        .select(F.concat_ws("\n", F.slice(around, 1, 10)).substr(1, 4000).alias("text"))
+        .select("text")
     )
     column = pa.array([r[0] for r in sample.collect()], pa.string())
     sequences, truth = [], []
@@ -262,8 +270,13 @@ def find(column: pa.Array, model: PersonalModel) -> list[tuple[list[Span], list[
                 features, sizes = _padded(some)
                 paths = model.field.decode(features, sizes)
                 for sequence, size, path in zip(some, sizes, paths):
-                    text = texts[sequence.text]
-                    added[sequence.text] += _added(sequence, path[:size].tolist(), text)
+                    text, own = texts[sequence.text], base[sequence.text]
+                    # Words of base findings are taken; they end a run of their neighbours.
+                    free = [
+                        0 if any(s.start < end and start < s.end for s in own) else label
+                        for label, (start, end) in zip(path[:size].tolist(), sequence.places)
+                    ]
+                    added[sequence.text] += _added(sequence, free, text)
         results += [(b, disjoint(new, b)) for b, new in zip(base, added)]
     return results
 
