@@ -55,7 +55,8 @@ def labelled_rows(docs: DataFrame, rows: int = ROWS) -> DataFrame:
 def fit(docs: DataFrame, rows: int = ROWS) -> LanguageModel:
     """A model of the labels in ``lang``; with fewer than one label, one that knows none."""
     sample = labelled_rows(docs, rows).orderBy("lang", "digest", "text").select("text", "lang")
-    texts, tags = zip(*[(r[0], r[1]) for r in sample.collect()] or [((), ())])
+    collected = sample.collect()
+    texts, tags = [r[0] for r in collected], [r[1] for r in collected]
     labels = sorted(set(tags), key=lambda tag: tag.encode())
     if not labels:
         return LanguageModel([], None)
