@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.shared import in_bitmap, key_bitmap, materialize
+from basketflow.llm.shared import in_bitmap, key_bitmap, map_text, materialize
 from basketflow.llm.textbytes import mix, text_slices, words
 
 WORDS = 5
@@ -321,8 +321,9 @@ def jaccard_components(
     size: int = WORDS,
     percent: int = PERCENT,
     long_lists: tuple[int, ...] = LONG_LISTS,
+    keep_node: bool = False,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+    """(doc_id, n_shingles, component_id) of every row of ``docs``, and ``node`` if it is kept.
 
     ``component_id`` is the smallest doc_id that links reach. A null or empty text, and one without
     a word, has no shingle and its own doc_id. Rows with one doc_id are separate documents that
@@ -380,7 +381,8 @@ def jaccard_components(
     rest = materialize(_left_over(postings, labels, starred, percent), "pairs")
     if not rest.isEmpty():
         labels = components(links.union(_linked(texts, rest, signatures, size, percent)))
-    return _labelled(nodes.select("doc_id", "node", "n"), labels)
+    found = _labelled(nodes.select("doc_id", "node", "n"), labels)
+    return found if keep_node else found.drop("node")
 
 
 def _long(lists: DataFrame, least: tuple[int, ...]) -> list[np.ndarray]:
@@ -466,6 +468,16 @@ def _labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     by_node = known.join(smallest, "label").select("node", "component_id")
     return nodes.join(by_node, "node", "left").select(
         "doc_id",
+        "node",
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
     )
+
+
+def with_node(docs: DataFrame, size: int = WORDS) -> DataFrame:
+    """Adds ``node``, the number of a text's set of grams; null for a text without a word."""
+
+    def nodes(column: pa.Array) -> list[pa.Array]:
+        return [pa.array([_node(g) if len(g) else None for _, g in _sets_of(column, size)], pa.int64())]
+
+    return map_text(docs, nodes, {"node": "long"})

@@ -31,18 +31,23 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest doc_id of every group of linked documents.
 
-    Of rows that repeat a doc_id, those with different texts stay if the doc_id is its group's
-    smallest, and equal ones stay once; rows without a doc_id likewise.
+    Where a doc_id has several rows, each is judged by its own text, and those of equal text stay
+    once. Rows without a doc_id stay where no row of their group has one.
     """
     ship(spark)
-    groups = jaccard_join.jaccard_components(docs)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    counted = first.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"))
-    counted = materialize(counted, "kept")
+    groups = materialize(jaccard_join.jaccard_components(docs, keep_node=True), "groups")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    counted = groups.groupBy(F.col("doc_id").alias("_id")).agg(
+        F.count("*").alias("_rows"), F.count_if(first).alias("_first")
+    )
     same = docs["doc_id"].eqNullSafe(F.col("_id"))
-    once = docs.join(counted.where("_rows = 1"), same, "left_semi")
-    again = docs.join(counted.where("_rows > 1"), same, "left_semi")
-    return once.unionByName(again.dropDuplicates(["doc_id", "text"]))
+    once = docs.join(counted.where("_rows = 1 and _first = 1"), same, "left_semi")
+    several = docs.join(counted.where("_rows > 1 and _first > 0"), same, "left_semi")
+    several = jaccard_join.with_node(several).dropDuplicates(["doc_id", "node"])
+    stay = groups.where(first).select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"))
+    own = several["doc_id"].eqNullSafe(F.col("_id")) & several["node"].eqNullSafe(F.col("_node"))
+    again = several.join(stay, own, "left_semi").select(*docs.columns)
+    return once.unionByName(again)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
