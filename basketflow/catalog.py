@@ -22,9 +22,7 @@ from basketflow.sources.tables import materialize
 # Bounds small enough that baskets, customers and items on both sides of each occur.
 SETTINGS = Settings(num_prods=500, max_items=8, max_seq=16, embedding_size=16)
 BATCH_SIZE, PASSES = 32, 2
-# Bounds for the nested views without a vocabulary.
-WIDE_ITEMS, WIDE_SEQ = 16, 80
-SAMPLE_RATE = 0.5
+SAMPLE_RATE, NEAR_ONE = 0.5, 0.9999999999
 DIGITS = 6
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,10 +68,9 @@ def _vocab(lines: DataFrame) -> DataFrame:
     return voc.vocabulary(lines, SETTINGS.num_prods)
 
 
-def _sequences(spark: SparkSession, folder: str) -> DataFrame:
+def _padded_rows(spark: SparkSession, folder: str) -> DataFrame:
     lines = sample_tables.basket_lines(spark, folder)
-    s = SETTINGS
-    return sequences.padded_sequences(lines, _vocab(lines), s.num_prods, s.max_items, s.max_seq)
+    return sequences.padded_rows(lines, _vocab(lines), SETTINGS.num_prods, SETTINGS.max_items)
 
 
 def _examples(spark: SparkSession, folder: str) -> DataFrame:
@@ -119,8 +116,8 @@ def scan_calendar_csv(spark, folder):
 
 @query
 def profile_head(spark, folder):
-    lines = sample_tables.basket_lines(spark, folder)
-    return profiling.head(lines, 10, (CUST, BASKET, PROD))
+    order = (CUST, BASKET, PROD, "SPEND", "QUANTITY", "STORE_CODE")
+    return profiling.head(sample_tables.transactions(spark, folder), 10, order)
 
 
 @query
@@ -136,6 +133,11 @@ def profile_distinct_keys(spark, folder):
 
 @query
 def profile_duplicates(spark, folder):
+    return profiling.duplicate_counts(sample_tables.transactions(spark, folder))
+
+
+@query
+def profile_duplicate_lines(spark, folder):
     """Duplicates among (customer, basket, item) lines."""
     return profiling.duplicate_counts(sample_tables.basket_lines(spark, folder))
 
@@ -177,6 +179,12 @@ def customer_sample(spark, folder):
     return sampling.sample_customers(lines, SAMPLE_RATE)
 
 
+@query
+def customer_sample_near_one(spark, folder):
+    lines = sample_tables.basket_lines(spark, folder)
+    return sampling.sample_customers(lines, NEAR_ONE)
+
+
 @query
 def item_lines(spark, folder):
     return voc.item_lines(sample_tables.basket_lines(spark, folder))
@@ -189,9 +197,9 @@ def basket_rollup(spark, folder):
 
 @query
 def basket_sets(spark, folder):
-    """Baskets as arrays; null where a basket is too large to be modelled."""
+    """The kept baskets as arrays."""
     items = sequences.basket_items(sample_tables.basket_lines(spark, folder))
-    baskets = sequences.basket_arrays(items, SETTINGS.max_items)
+    baskets = sequences.kept_baskets(items, SETTINGS.max_items)
     return baskets.select(CUST, BASKET, _text(F.col("items")).alias("items"))
 
 
@@ -208,16 +216,20 @@ def basket_sequences_sliced(spark, folder):
 
 @query
 def customer_sequences(spark, folder):
-    lines = sample_tables.basket_lines(spark, folder)
-    df = sequences.customer_sequences(lines, WIDE_ITEMS, WIDE_SEQ)
-    return df.select(CUST, F.size("baskets").alias("n"), _texts(F.col("baskets")).alias("baskets"))
+    """Items of every customer's sequence by the place of their basket."""
+    rows = sequences.basket_sequences(sample_tables.basket_lines(spark, folder))
+    return rows.select(CUST, "basket_pos", PROD)
 
 
 @query
 def basket_history(spark, folder):
-    lines = sample_tables.basket_lines(spark, folder)
-    df = sequences.basket_history(lines, WIDE_ITEMS, WIDE_SEQ)
-    return df.select(CUST, "basket_pos", _texts(F.col("history")).alias("history"))
+    return sequences.basket_history(sample_tables.basket_lines(spark, folder))
+
+
+@query
+def basket_history_in_stretches(spark, folder):
+    """The same with sums that run over a few baskets each."""
+    return sequences.basket_history(sample_tables.basket_lines(spark, folder), stretch=3)
 
 
 # Vocabulary
@@ -242,17 +254,15 @@ def item_lines_indexed(spark, folder):
 @query
 def indexed_sequences(spark, folder):
     lines = sample_tables.basket_lines(spark, folder)
-    vocab = _vocab(lines)
-    df = sequences.indexed_sequences(lines, vocab, SETTINGS.num_prods, WIDE_ITEMS, WIDE_SEQ)
-    return df.select(CUST, _texts(F.col("baskets")).alias("baskets"))
+    rows = sequences.indexed_rows(lines, _vocab(lines), SETTINGS.num_prods)
+    return rows.select(CUST, "basket_pos", PROD, "idx")
 
 
 @query
 def padded_baskets(spark, folder):
-    df = _sequences(spark, folder)
-    return df.select(CUST, F.posexplode_outer("baskets").alias("at", "basket")).select(
-        CUST, (F.col("at") + 1).alias("basket_pos"), _text(F.col("basket")).alias("items")
-    )
+    """Every kept basket; customers without one show as a row without items."""
+    rows = _padded_rows(spark, folder)
+    return rows.select(CUST, "basket_pos", _text(F.col("items")).alias("items"))
 
 
 # Splits, examples and batches
@@ -308,15 +318,31 @@ def batch_assignment_in_order(spark, folder):
     return batches.batches(examples, BATCH_SIZE, PASSES, shuffle=False)
 
 
+@query
+def batch_examples(spark, folder):
+    """Batches with the x and y of their examples."""
+    placed = batches.batches(_stored_examples(spark, folder).drop("split"), BATCH_SIZE, PASSES)
+    return placed.select(
+        "batch_id", "slot", CUST, _texts(F.col("x")).alias("x"), _text(F.col("y")).alias("y")
+    )
+
+
 # Class weights, scores and metrics
 
 
+def _part(examples: DataFrame, split: str) -> DataFrame:
+    return examples.where(F.col("split") == split)
+
+
+def _train_weights(examples: DataFrame) -> DataFrame:
+    """Class weights from the labels of the train split."""
+    train = _part(examples, "train")
+    return metrics.class_weights(ex.labels(train), metrics.example_count(train), SETTINGS.num_labels)
+
+
 @query
 def class_weights(spark, folder):
-    examples = _stored_examples(spark, folder)
-    n = metrics.example_count(examples)
-    df = metrics.class_weights(ex.labels(examples), n, SETTINGS.num_labels)
-    return _rounded(df, "w_neg", "w_pos")
+    return _rounded(_train_weights(_stored_examples(spark, folder)), "w_neg", "w_pos")
 
 
 @query
@@ -345,7 +371,7 @@ def top_k_all_items(spark, folder):
 
 def _outcomes(examples: DataFrame, weighted: bool) -> DataFrame:
     labels, n = ex.labels(examples), metrics.example_count(examples)
-    weights = metrics.class_weights(labels, n, SETTINGS.num_labels) if weighted else None
+    weights = _train_weights(examples) if weighted else None
     scores = scoring.recency_scores(examples)
     return metrics.label_outcomes(labels, scores, n, SETTINGS.num_labels, weights=weights)
 
@@ -392,15 +418,41 @@ def metric_topk(spark, folder):
 
 @query
 def evaluation_recency(spark, folder):
-    """The whole evaluation of the recency scores."""
-    examples = _stored_examples(spark, folder)
-    n = metrics.example_count(examples)
-    weights = metrics.class_weights(ex.labels(examples), n, SETTINGS.num_labels)
-    scores = scoring.recency_scores(examples)
-    df = model.evaluate(examples, scores, SETTINGS.num_labels, weights=weights)
+    """The whole evaluation of the recency scores, on the test split."""
+    return _evaluated(_stored_examples(spark, folder), "test")
+
+
+def _evaluated(examples: DataFrame, split: str) -> DataFrame:
+    part, weights = _part(examples, split), _train_weights(examples)
+    scores = scoring.recency_scores(part)
+    df = model.evaluate(part, scores, SETTINGS.num_labels, weights=weights)
     return _rounded(df, *df.columns)
 
 
+@query
+def evaluation_by_split(spark, folder):
+    examples = _stored_examples(spark, folder)
+    parts = [
+        _evaluated(examples, split).select(F.lit(split).alias("split"), "*")
+        for split in ("train", "test", "valid")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def next_basket_items(spark, folder):
+    """The items with the best recency scores of every customer, unknown items left out."""
+    examples = _stored_examples(spark, folder)
+    best = scoring.top_items(
+        scoring.recency_scores(examples),
+        examples,
+        metrics.TOP_K,
+        SETTINGS.num_labels,
+        exclude_pad_label=True,
+    )
+    return _rounded(best, "p")
+
+
 # Affinity, embeddings and the model
 
 
@@ -443,7 +495,41 @@ def item_similarity(spark, folder):
 @query
 def basket_vectors(spark, folder):
     vectors = _embeddings(_stored_examples(spark, folder))
-    return embeddings.basket_vectors(_sequences(spark, folder), vectors, SETTINGS.num_labels)
+    return embeddings.basket_vectors(_padded_rows(spark, folder), vectors, SETTINGS.num_labels)
+
+
+DIGEST_SIZE = 4
+
+
+def _digest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """A vector for every vocabulary index from the md5 of its item; zero for index 0."""
+    vocab = _vocab(sample_tables.basket_lines(spark, folder))
+
+    def value(j: int):
+        digits = F.substring(F.md5(F.concat_ws("|", F.lit(str(j)), "prod_code")), 1, 4)
+        return (F.conv(digits, 16, 10).cast("double") / 65536 - 0.5).cast("float")
+
+    vector = F.array(*[value(j) for j in range(DIGEST_SIZE)])
+    zero = F.array_repeat(F.lit(0.0).cast("float"), DIGEST_SIZE)
+    known = vocab.select("idx", F.when(F.col("idx") == 0, zero).otherwise(vector).alias("vector"))
+    return materialize(known, "digest-vectors")
+
+
+@query
+def basket_vectors_of_digests(spark, folder):
+    """Mean vectors of the padded baskets, with vectors that do not have to be learned."""
+    df = embeddings.basket_vectors(
+        _padded_rows(spark, folder), _digest_vectors(spark, folder), SETTINGS.num_labels
+    )
+    parts = [F.round(F.col("vector")[j].cast("double"), 5).alias(f"v{j}") for j in range(DIGEST_SIZE)]
+    return df.select(CUST, "basket_pos", *parts)
+
+
+@query
+def item_similarity_of_digests(spark, folder):
+    pairs = affinity.item_affinity(_kept_baskets(spark, folder))
+    df = embeddings.pair_similarity(pairs, _digest_vectors(spark, folder), SETTINGS.num_labels)
+    return _rounded(df.select("idx_a", "idx_b", "n_both", "cosine"), "cosine")
 
 
 def _train_cells(spark: SparkSession, folder: str):

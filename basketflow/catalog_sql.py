@@ -6,12 +6,11 @@ dense matrices where the Spark side avoids them.
 
 from basketflow.catalog import (
     BATCH_SIZE,
+    DIGEST_SIZE,
     DIGITS,
     PASSES,
     SAMPLE_RATE,
     SETTINGS,
-    WIDE_ITEMS,
-    WIDE_SEQ,
 )
 from basketflow.operators.batches import SEED as BATCH_SEED
 from basketflow.operators.examples import SEED as SPLIT_SEED
@@ -166,17 +165,18 @@ CTES = {
     ),
     "width": ((), f"SELECT range AS idx FROM range({WIDTH})"),
     "customers": (("usable",), 'SELECT DISTINCT "CUST_CODE" FROM usable'),
+    "splits": (("usable",), 'SELECT DISTINCT "CUST_CODE", split FROM usable'),
     # Every customer with every label.
     "dense": (
-        ("labels", "scores", "width", "customers"),
+        ("labels", "scores", "width", "splits"),
         """
-        SELECT c."CUST_CODE", w.idx, (l.idx IS NOT NULL)::INTEGER AS y, coalesce(s.p, 0) AS p
-        FROM customers c CROSS JOIN width w
+        SELECT c."CUST_CODE", c.split, w.idx, (l.idx IS NOT NULL)::INTEGER AS y, coalesce(s.p, 0) AS p
+        FROM splits c CROSS JOIN width w
         LEFT JOIN labels l ON l."CUST_CODE" = c."CUST_CODE" AND l.idx = w.idx
         LEFT JOIN scores s ON s."CUST_CODE" = c."CUST_CODE" AND s.idx = w.idx""",
     ),
     "weights": (
-        ("labels", "n", "width"),
+        ("train_labels", "train_x", "width"),
         """
         SELECT idx,
                CASE WHEN pos = 0 OR pos = n THEN 1.0::DOUBLE
@@ -184,12 +184,13 @@ CTES = {
                CASE WHEN pos = 0 OR pos = n THEN 1.0::DOUBLE
                     ELSE n / (2 * pos)::DOUBLE END AS w_pos
         FROM (SELECT w.idx, count(l.idx) AS pos
-              FROM width w LEFT JOIN labels l ON w.idx = l.idx GROUP BY 1) CROSS JOIN n""",
+              FROM width w LEFT JOIN train_labels l ON w.idx = l.idx GROUP BY 1)
+        CROSS JOIN (SELECT count(DISTINCT "CUST_CODE") AS n FROM train_x)""",
     ),
     "losses": (
         ("dense", "weights"),
         """
-        SELECT d.idx, y, p, w_neg, w_pos,
+        SELECT d.idx, split, y, p, w_neg, w_pos,
                CASE WHEN y = 1 THEN -ln(least(greatest(p, 1e-7), 1 - 1e-7))
                     ELSE -ln(least(greatest(1 - p, 1e-7), 1 - 1e-7)) END AS loss
         FROM dense d JOIN weights w ON d.idx = w.idx""",
@@ -210,12 +211,47 @@ CTES = {
         SELECT *, row_number() OVER (PARTITION BY "CUST_CODE" ORDER BY p DESC, idx) AS rank
         FROM dense QUALIFY rank <= {TOP_K}""",
     ),
-    "wide": (
-        ("items",),
+    "split_outcomes": (
+        ("losses",),
+        """
+        SELECT split, idx,
+               count(*) FILTER (y = 1 AND p > 0.5) AS tp,
+               count(*) FILTER (y = 0 AND p > 0.5) AS fp,
+               count(*) FILTER (y = 1 AND p <= 0.5) AS fn
+        FROM losses GROUP BY 1, 2""",
+    ),
+    "split_evaluation": (
+        ("losses", "split_outcomes", "ranked_all", "labels", "splits"),
         f"""
-        SELECT "CUST_CODE", "BASKET_ID", string_agg("PROD_CODE", ',' ORDER BY "PROD_CODE") AS items,
-               count(*) OVER (PARTITION BY "CUST_CODE") AS n_baskets
-        FROM items GROUP BY 1, 2 HAVING count(*) < {WIDE_ITEMS}""",
+        SELECT a.split, loss, accuracy, precision, recall, f1, recall_top_k, precision_top_k
+        FROM (SELECT split,
+                     round(avg(loss * CASE WHEN y = 1 THEN w_pos ELSE w_neg END), {DIGITS}) AS loss,
+                     round(avg(((p > 0.5)::INTEGER = y)::INTEGER), {DIGITS}) AS accuracy
+              FROM losses GROUP BY 1) a
+        JOIN (SELECT split,
+                     round(avg(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END), {DIGITS})
+                         AS precision,
+                     round(avg(CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END), {DIGITS})
+                         AS recall,
+                     round(avg(CASE WHEN 2 * tp + fp + fn = 0 THEN 0
+                                    ELSE 2 * tp / (2 * tp + fp + fn) END), {DIGITS}) AS f1
+              FROM split_outcomes GROUP BY 1) b ON a.split = b.split
+        JOIN (SELECT split, sum(y) AS hits, round(sum(y) / count(*), {DIGITS}) AS precision_top_k
+              FROM ranked_all GROUP BY 1) c ON a.split = c.split
+        JOIN (SELECT s.split, round(any_value(hits) / count(*), {DIGITS}) AS recall_top_k
+              FROM labels l JOIN splits s ON s."CUST_CODE" = l."CUST_CODE"
+              JOIN (SELECT split, sum(y) AS hits FROM ranked_all GROUP BY 1) h
+                   ON h.split = s.split
+              GROUP BY 1) d ON a.split = d.split""",
+    ),
+    "digests": (
+        ("vocab",),
+        f"""
+        SELECT v.idx, j.range AS j,
+               CASE WHEN v.idx = 0 THEN 0
+                    ELSE ('0x' || substr(md5(j.range || '|' || prod_code), 1, 4))::INTEGER / 65536
+                         - 0.5 END::FLOAT::DOUBLE AS v
+        FROM vocab v CROSS JOIN range({DIGEST_SIZE}) j""",
     ),
     "pairs": (
         ("coded", "kept"),
@@ -292,13 +328,28 @@ def oracle_sql() -> dict[str, str]:
                   "BASKET_ID", "PROD_CODE" FROM items""",
     )
     names = ", ".join(f"round({c}, {DIGITS}) AS {c}" for c in ("w_neg", "w_pos"))
+    history = _with(
+        ("items",),
+        """SELECT "CUST_CODE", n_items,
+                  row_number() OVER (PARTITION BY "CUST_CODE" ORDER BY "BASKET_ID") AS basket_pos,
+                  (sum(n_items) OVER (PARTITION BY "CUST_CODE" ORDER BY "BASKET_ID"))::BIGINT
+                      AS n_history
+           FROM (SELECT "CUST_CODE", "BASKET_ID", count("PROD_CODE") AS n_items
+                 FROM items GROUP BY 1, 2)""",
+    )
+    shuffled = f"""md5('{BATCH_SEED}|' || pass || '|' || "CUST_CODE"), "CUST_CODE" """
+    vector = ", ".join(
+        f"round(coalesce(sum(v) FILTER (j = {j}), 0) / {MAX_ITEMS}, 5) AS v{j}"
+        for j in range(DIGEST_SIZE)
+    )
     return {
         "stage_transactions": trans,
         "scan_transactions_csv": trans,
         "scan_calendar_csv": _with(("calendar",), "SELECT * FROM calendar"),
         "profile_head": _with(
-            ("lines",),
-            'SELECT * FROM lines ORDER BY "CUST_CODE", "BASKET_ID", "PROD_CODE" LIMIT 10',
+            ("trans",),
+            """SELECT * FROM trans ORDER BY "CUST_CODE", "BASKET_ID", "PROD_CODE", "SPEND",
+                      "QUANTITY", "STORE_CODE" LIMIT 10""",
         ),
         "profile_counts": _with(
             ("trans",), "SELECT count(*) AS n_rows, 22::BIGINT AS n_columns FROM trans"
@@ -310,6 +361,11 @@ def oracle_sql() -> dict[str, str]:
                       count(DISTINCT "SHOP_WEEK") AS n_weeks FROM trans""",
         ),
         "profile_duplicates": _with(
+            ("trans",),
+            """SELECT (SELECT count(*) FROM trans) AS n_rows,
+                      (SELECT count(*) FROM (SELECT DISTINCT * FROM trans)) AS n_distinct_rows""",
+        ),
+        "profile_duplicate_lines": _with(
             ("lines", "items"),
             """SELECT (SELECT count(*) FROM lines) AS n_rows,
                       (SELECT count(*) FROM items) AS n_distinct_rows""",
@@ -326,32 +382,25 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT * FROM lines
                 WHERE substr(md5('{SAMPLE_SEED}|' || "CUST_CODE"), 1, 8) < '{threshold}'""",
         ),
+        "customer_sample_near_one": _with(("lines",), "SELECT * FROM lines"),
         "item_lines": _with(("lines",), 'SELECT "PROD_CODE" FROM lines'),
         "basket_rollup": _with(("items",), "SELECT * FROM items"),
         "basket_sets": _with(
             ("items",),
             f"""SELECT "CUST_CODE", "BASKET_ID",
-                       CASE WHEN count(*) < {MAX_ITEMS}
-                            THEN string_agg("PROD_CODE", ',' ORDER BY "PROD_CODE") END AS items
-                FROM items GROUP BY 1, 2""",
+                       string_agg("PROD_CODE", ',' ORDER BY "PROD_CODE") AS items
+                FROM items GROUP BY 1, 2 HAVING count(*) < {MAX_ITEMS}""",
         ),
         "basket_sequences": positions,
         "basket_sequences_sliced": positions,
         "customer_sequences": _with(
-            ("wide",),
-            f"""SELECT "CUST_CODE", count(*) AS n,
-                       string_agg(items, ';' ORDER BY "BASKET_ID") AS baskets
-                FROM wide WHERE n_baskets < {WIDE_SEQ} GROUP BY 1""",
-        ),
-        "basket_history": _with(
-            ("wide",),
-            f"""SELECT "CUST_CODE",
-                       row_number() OVER (PARTITION BY "CUST_CODE" ORDER BY "BASKET_ID")
-                           AS basket_pos,
-                       string_agg(items, ';') OVER (PARTITION BY "CUST_CODE" ORDER BY "BASKET_ID")
-                           AS history
-                FROM wide WHERE n_baskets < {WIDE_SEQ}""",
+            ("items",),
+            """SELECT "CUST_CODE",
+                      dense_rank() OVER (PARTITION BY "CUST_CODE" ORDER BY "BASKET_ID")
+                          AS basket_pos, "PROD_CODE" FROM items""",
         ),
+        "basket_history": history,
+        "basket_history_in_stretches": history,
         "vocabulary": _with(("vocab",), "SELECT * FROM vocab"),
         "vocabulary_reverse": _with(("vocab",), "SELECT idx, prod_code FROM vocab"),
         "item_lines_indexed": _with(
@@ -361,19 +410,16 @@ def oracle_sql() -> dict[str, str]:
         ),
         "indexed_sequences": _with(
             ("coded",),
-            f"""SELECT "CUST_CODE", string_agg(items, ';' ORDER BY "BASKET_ID") AS baskets
-                FROM (SELECT "CUST_CODE", "BASKET_ID",
-                             string_agg(idx::VARCHAR, ',' ORDER BY "PROD_CODE") AS items
-                      FROM coded GROUP BY 1, 2 HAVING count(*) < {WIDE_ITEMS})
-                GROUP BY 1 HAVING count(*) < {WIDE_SEQ}""",
+            """SELECT "CUST_CODE",
+                      dense_rank() OVER (PARTITION BY "CUST_CODE" ORDER BY "BASKET_ID")
+                          AS basket_pos, "PROD_CODE", idx FROM coded""",
         ),
         "padded_baskets": _with(
-            ("lines", "kept", "padded"),
-            f"""SELECT c."CUST_CODE", p.basket_pos, p.padded AS items
+            ("lines", "kept"),
+            f"""SELECT c."CUST_CODE", k.basket_pos,
+                       k.items || repeat(',0', ({MAX_ITEMS} - k.size)::INTEGER) AS items
                 FROM (SELECT DISTINCT "CUST_CODE" FROM lines) c
-                LEFT JOIN padded p ON p."CUST_CODE" = c."CUST_CODE"
-                WHERE c."CUST_CODE" NOT IN
-                      (SELECT "CUST_CODE" FROM kept WHERE n_baskets >= {MAX_SEQ})""",
+                LEFT JOIN kept k ON k."CUST_CODE" = c."CUST_CODE" """,
         ),
         "split_assignment": _with(("split",), "SELECT * FROM split"),
         "split_sizes": _with(
@@ -403,11 +449,18 @@ def oracle_sql() -> dict[str, str]:
                       0::BIGINT AS n_wrong_length, 0::BIGINT AS n_wrong_width
                FROM usable GROUP BY 1""",
         ),
-        "batch_assignment": _with(
-            ("customers", "n"),
-            _batch(f"""md5('{BATCH_SEED}|' || pass || '|' || "CUST_CODE"), "CUST_CODE" """),
-        ),
+        "batch_assignment": _with(("customers", "n"), _batch(shuffled)),
         "batch_assignment_in_order": _with(("customers", "n"), _batch('"CUST_CODE"')),
+        "batch_examples": _with(
+            ("customers", "n", "usable"),
+            f"""SELECT b.batch_id, b.slot, b."CUST_CODE", e.x, e.y
+                FROM ({_batch(shuffled)}) b
+                JOIN (SELECT "CUST_CODE",
+                             string_agg(padded, ';' ORDER BY basket_pos)
+                                 FILTER (basket_pos < n_baskets) AS x,
+                             max(padded) FILTER (basket_pos = n_baskets) AS y
+                      FROM usable GROUP BY 1) e ON e."CUST_CODE" = b."CUST_CODE" """,
+        ),
         "class_weights": _with(("weights",), f"SELECT idx, {names} FROM weights"),
         "recency_scores": _with(
             ("scores",), f'SELECT "CUST_CODE", idx, round(p, {DIGITS}) AS p FROM scores'
@@ -455,23 +508,35 @@ def oracle_sql() -> dict[str, str]:
                        round(sum(y) / count(*), {DIGITS}) AS precision FROM ranked_all""",
         ),
         "evaluation_recency": _with(
-            ("losses", "outcomes", "ranked_all", "labels"),
-            f"""SELECT
-                  round((SELECT avg(loss * CASE WHEN y = 1 THEN w_pos ELSE w_neg END)
-                         FROM losses), {DIGITS}) AS loss,
-                  round((SELECT avg(((p > 0.5)::INTEGER = y)::INTEGER) FROM losses), {DIGITS})
-                      AS accuracy,
-                  round((SELECT avg(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END)
-                         FROM outcomes), {DIGITS}) AS precision,
-                  round((SELECT avg(CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END)
-                         FROM outcomes), {DIGITS}) AS recall,
-                  round((SELECT avg(CASE WHEN 2 * tp + fp + fn = 0 THEN 0
-                                         ELSE 2 * tp / (2 * tp + fp + fn) END)
-                         FROM outcomes), {DIGITS}) AS f1,
-                  round((SELECT sum(y) FROM ranked_all) / (SELECT count(*) FROM labels), {DIGITS})
-                      AS recall_top_k,
-                  round((SELECT sum(y) / count(*) FROM ranked_all), {DIGITS})
-                      AS precision_top_k""",
+            ("split_evaluation",),
+            "SELECT * EXCLUDE (split) FROM split_evaluation WHERE split = 'test'",
+        ),
+        "evaluation_by_split": _with(("split_evaluation",), "SELECT * FROM split_evaluation"),
+        "next_basket_items": _with(
+            ("dense",),
+            f"""SELECT "CUST_CODE", idx, round(p, {DIGITS}) AS p,
+                       row_number() OVER (PARTITION BY "CUST_CODE" ORDER BY p DESC, idx) AS rank
+                FROM (SELECT "CUST_CODE", idx, p FROM dense WHERE idx <> 0)
+                QUALIFY rank <= {TOP_K}""",
+        ),
+        "basket_vectors_of_digests": _with(
+            ("kept", "digests"),
+            f"""SELECT "CUST_CODE", basket_pos, {vector}
+                FROM (SELECT "CUST_CODE", basket_pos, unnest(string_split(items, ','))::BIGINT AS idx
+                      FROM kept) i
+                JOIN digests d ON d.idx = i.idx GROUP BY 1, 2""",
+        ),
+        "item_similarity_of_digests": _with(
+            ("pairs", "digests"),
+            f"""SELECT p.idx_a, p.idx_b, any_value(p.n_both) AS n_both,
+                       round(sum(a.v * b.v) / (sqrt(sum(a.v * a.v)) * sqrt(sum(b.v * b.v))), {DIGITS})
+                           AS cosine
+                FROM (SELECT a.idx AS idx_a, b.idx AS idx_b, count(*) AS n_both
+                      FROM pairs a JOIN pairs b
+                           ON a."BASKET_ID" = b."BASKET_ID" AND a.idx < b.idx GROUP BY 1, 2) p
+                JOIN digests a ON a.idx = p.idx_a
+                JOIN digests b ON b.idx = p.idx_b AND b.j = a.j
+                GROUP BY 1, 2""",
         ),
         "model_cells": _with(
             ("train_x", "scores", "train_labels"),

@@ -28,6 +28,16 @@ def last(baskets: Column) -> Column:
 
 
 def multi_hot(items: Column, num_prods: int) -> Column:
-    """0/1 vector over the classes 0..num_prods; repeated items count once."""
-    classes = F.sequence(F.lit(0), F.lit(num_prods))
-    return F.transform(classes, lambda c: F.array_contains(items, c).cast("int"))
+    """0/1 vector over the classes 0..num_prods; repeated items count once.
+
+    The distinct items are sorted, and each adds the zeros up to it and a one.
+    """
+    known = F.filter(items, lambda i: (i >= 0) & (i <= num_prods))
+    ones = F.array_sort(F.array_distinct(known)).cast("array<int>")
+    before = F.concat(F.array(F.lit(-1)), ones)
+    after = F.concat(ones, F.array(F.lit(num_prods + 1)))
+    gaps = F.zip_with(before, after, lambda a, b: F.array_repeat(F.lit(0), b - a - 1))
+    marked = F.transform(
+        gaps, lambda gap, i: F.when(i < F.size(ones), F.concat(gap, F.array(F.lit(1)))).otherwise(gap)
+    )
+    return F.flatten(marked)

@@ -26,6 +26,7 @@ def keep_fraction(digest: Column, rate: float) -> Column:
     """True for a share ``rate`` of all digests."""
     if rate < 0:
         raise ValueError("rate must not be negative")
-    if rate >= 1:
+    below = round(rate * 2**32)
+    if below >= 2**32:
         return F.lit(True)
-    return F.substring(digest, 1, 8) < F.lit(f"{round(rate * 2**32):08x}")
+    return F.substring(digest, 1, 8) < F.lit(f"{below:08x}")

@@ -19,6 +19,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--max-items", type=int, default=defaults.max_items)
     parser.add_argument("--max-seq", type=int, default=defaults.max_seq)
     parser.add_argument("--embedding-size", type=int, default=defaults.embedding_size)
+    parser.add_argument("--scratch", help="folder shared by all executors, if the cluster names none")
     parser.add_argument("--no-class-weights", action="store_true")
     args = parser.parse_args(argv)
     settings = stages.Settings(
@@ -29,7 +30,10 @@ def main(argv: list[str] | None = None) -> None:
         embedding_size=args.embedding_size,
         use_class_weights=not args.no_class_weights,
     )
-    spark = SparkSession.builder.appName(f"basketflow {args.stage}").getOrCreate()
+    builder = SparkSession.builder.appName(f"basketflow {args.stage}")
+    if args.scratch:
+        builder = builder.config("spark.checkpoint.dir", args.scratch)
+    spark = builder.getOrCreate()
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     if args.stage == "stage":

@@ -17,10 +17,14 @@ def batches(
 
     The passes follow each other without a gap, so a batch may straddle two of them; an incomplete
     last batch is left out. With ``shuffle`` every pass has an order of its own, otherwise the
-    order is that of the customers.
+    order is that of the customers. Every customer is one example.
     """
     if batch_size < 1 or passes < 1:
         raise ValueError("batch_size and passes must be positive")
+    if examples.columns != [CUST]:
+        # Keys alone are repeated and placed; x and y join their places.
+        placed = batches(examples.select(CUST), batch_size, passes, shuffle, seed)
+        return placed.join(examples, CUST).select("batch_id", "slot", *examples.columns)
     if not shuffle:
         sliced = key_slices(examples, F.col(CUST))
         placed = positions(sliced, [CUST], SAMPLED_SLICES)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from basketflow.operators.lookup import lookup
 from basketflow.schemas import CUST, PAD
 
+PARTITIONS = 8
 VECTOR_BYTES = 4096  # room for 1024 single-precision numbers
 
 
@@ -17,15 +18,15 @@ def fit_item_embeddings(
     max_items: int,
     size: int = 128,
     iterations: int = 1,
-    partitions: int | None = None,
+    partitions: int = PARTITIONS,
     seed: int = 42,
 ) -> Word2VecModel:
     """Learn a vector per vocabulary index, with the other items of the basket as context.
 
     The model is as large as the vocabulary, on the driver and in every task; the baskets stay
-    distributed. Training is spread over ``partitions`` tasks (default: the cores at hand).
+    distributed. Training is spread over ``partitions`` tasks whose vectors are averaged after every
+    iteration, so more partitions need more ``iterations``; neither depends on the cores at hand.
     """
-    spark = baskets.sparkSession
     words = F.transform(F.filter("items", lambda i: i != PAD), lambda i: i.cast("string"))
     sentences = baskets.where(F.col("items").isNotNull()).select(words.alias("words"))
     learner = Word2Vec(
@@ -34,7 +35,7 @@ def fit_item_embeddings(
         windowSize=max_items,
         maxSentenceLength=max_items,
         maxIter=iterations,
-        numPartitions=partitions or spark.sparkContext.defaultParallelism,
+        numPartitions=partitions,
         seed=seed,
         inputCol="words",
         outputCol="vector",
@@ -56,18 +57,34 @@ def item_embeddings(model: Word2VecModel, num_labels: int) -> DataFrame:
 
 
 def basket_vectors(
-    sequences: DataFrame, embeddings: DataFrame, num_labels: int, skip_pads: bool = False
+    baskets: DataFrame, embeddings: DataFrame, num_labels: int, skip_pads: bool = False
 ) -> DataFrame:
-    """(customer, basket_pos, vector): mean item vector per basket, over pads too by default."""
-    items = sequences.select(CUST, F.posexplode("baskets").alias("_at", "items")).select(
-        CUST, (F.col("_at") + 1).alias("basket_pos"), F.explode("items").alias("idx")
+    """(customer, basket_pos, vector): mean item vector per basket, over pads too by default.
+
+    ``baskets`` has rows (customer, basket_pos, items). Pads have a zero vector, so they are left
+    out of the join and only count in the divisor. A basket of pads alone has no row if they are
+    skipped, and a zero vector otherwise.
+    """
+    own = F.filter("items", lambda i: i != PAD)
+    entries = baskets.where(F.size("items") > 0).select(
+        CUST,
+        "basket_pos",
+        F.size(own if skip_pads else F.col("items")).alias("_width"),
+        (F.explode(own) if skip_pads else F.explode_outer(own)).alias("idx"),
     )
-    if skip_pads:
-        items = items.where(F.col("idx") != PAD)
-    vectors = lookup(items, embeddings, ["idx"], num_labels, CUST, VECTOR_BYTES)
-    mean = Summarizer.mean(array_to_vector(F.col("vector").cast("array<double>")))
-    return vectors.groupBy(CUST, "basket_pos").agg(
-        vector_to_array(mean, "float32").alias("vector")
+    vectors = lookup(entries, embeddings, ["idx"], num_labels, CUST, VECTOR_BYTES)
+    size = embeddings.select(F.size("vector").alias("n")).limit(1).scalar()
+    zero = F.array_repeat(F.lit(0.0), size)
+    vector = F.coalesce(F.col("vector").cast("array<double>"), zero)
+    total = vector_to_array(Summarizer.sum(array_to_vector(vector)))
+    return (
+        vectors.groupBy(CUST, "basket_pos", "_width")
+        .agg(total.alias("_sum"))
+        .select(
+            CUST,
+            "basket_pos",
+            F.transform("_sum", lambda v: (v / F.col("_width")).cast("float")).alias("vector"),
+        )
     )
 
 
@@ -94,9 +111,3 @@ def pair_similarity(pairs: DataFrame, embeddings: DataFrame, num_labels: int) ->
         "_vector_a", "_vector_b"
     )
 
-
-def similar_items(model: Word2VecModel, item: int, k: int) -> DataFrame:
-    """(idx, similarity) of the k items with the vectors closest to that of ``item``."""
-    return model.findSynonyms(str(item), k).select(
-        F.col("word").cast("int").alias("idx"), "similarity"
-    )

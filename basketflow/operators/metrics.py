@@ -167,14 +167,18 @@ def top_k_metrics(
     num_labels: int,
     k: int = TOP_K,
     background: DataFrame | None = None,
+    exclude_pad_label: bool = False,
 ) -> DataFrame:
     """One row: recall and precision when each example's k best labels count as predicted."""
-    best = top_items(scores, examples, k, num_labels, background).select(CUST, "idx", "p")
+    first = int(exclude_pad_label)
+    labels = labels.where(F.col("idx") >= first)
+    best = top_items(scores, examples, k, num_labels, background, exclude_pad_label)
+    best = best.select(CUST, "idx", "p")
     hits = cells(labels, best).agg(
         F.sum(F.when((F.col("y") == 1) & F.col("p").isNotNull(), 1).otherwise(0)).alias("tp"),
         F.sum("y").alias("pos"),
     )
-    predicted = example_count(examples).scalar() * min(k, num_labels)
+    predicted = example_count(examples).scalar() * min(k, num_labels - first)
     return hits.withColumn("_predicted", predicted).select(
         _ratio(F.col("tp"), F.col("pos")).alias("recall"),
         _ratio(F.col("tp"), F.col("_predicted")).alias("precision"),

@@ -120,15 +120,14 @@ def training_rows(
     rest = background_features(rest, "n_own", "own_pos", "all_pos", "_n").withColumn(
         "_c", F.explode(counted)
     )
-    names = ["idx", *FEATURES]
+    names = [CUST, "idx", *FEATURES]
     one = F.lit(1).cast("bigint").alias("times")
-    rows = own.select(*names, "y", one).unionByName(
-        rest.where(F.col("_c.times") > 0).select(*names, "_c.y", "_c.times")
-    )
+    rest = rest.where(F.col("_c.times") > 0).select(*names[1:], "_c.y", "_c.times")
+    rows = own.select(*names, "y", one).unionByName(rest, allowMissingColumns=True)
     if weights is None:
         weight = F.col("times").cast("double")
     else:
-        rows = lookup(rows, weights, ["idx"], width, "popularity")
+        rows = lookup(rows, weights, ["idx"], width, CUST)
         weight = F.col("times") * F.when(F.col("y") == 1, F.col("w_pos")).otherwise(F.col("w_neg"))
     return rows.select(*FEATURES, F.col("y").cast("double"), weight.alias("weight"))
 
@@ -194,15 +193,16 @@ def evaluate(
 ) -> DataFrame:
     """One row: loss, accuracy, macro precision, recall and F1, and top-k recall and precision.
 
-    ``exclude_pad_label`` leaves label 0, which is set for every example, out of all measures but
-    the ranking itself.
+    ``exclude_pad_label`` leaves label 0, which is set for every example, out of all measures.
     """
     y = labels_of(examples)
     n = example_count(examples)
     outcomes = label_outcomes(y, scores, n, num_labels, background, weights)
     if exclude_pad_label:
         outcomes = outcomes.where(F.col("idx") != 0)
-    ranking = top_k_metrics(y, scores, examples, num_labels, k, background)
+    ranking = top_k_metrics(
+        y, scores, examples, num_labels, k, background, exclude_pad_label
+    )
     ranking = ranking.select(
         F.col("recall").alias("recall_top_k"), F.col("precision").alias("precision_top_k")
     )

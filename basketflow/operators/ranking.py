@@ -15,11 +15,11 @@ from basketflow.operators.lookup import BROADCAST_ROWS
 HEAVY_AFTER = 1_000_000
 # Wanted number of slices per table. At most PARTS groups can be heavy, and they have about
 # PARTS slices together, so tables of heavy groups, cuts and offsets are small enough to broadcast.
-PARTS = 1024
+PARTS = 16_384
 # A table of a known smaller size is numbered by one task.
 SINGLE_TASK_ROWS = 100_000
 _OVERSAMPLE = 4
-_STEP = 32
+_STEP = 128
 SAMPLED_SLICES = 2 * PARTS
 
 

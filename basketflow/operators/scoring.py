@@ -63,16 +63,21 @@ def top_items(
     k: int,
     num_labels: int,
     background: DataFrame | None = None,
+    exclude_pad_label: bool = False,
 ) -> DataFrame:
     """(customer, rank, idx, p): the k best of all ``num_labels`` items of every customer.
 
-    Higher scores come first and lower indices win ties. The rows of one of the ``customers`` are
+    Higher scores come first and lower indices win ties. ``exclude_pad_label`` leaves out index 0,
+    which stands for padding and unknown items. The rows of one of the ``customers`` are
     merged with the best background items it has no row for; these lie among the first
     ``k + own rows`` of the background. Groups are bounded by the number of labels.
     """
-    spine = scores.sparkSession.range(num_labels).select(F.col("id").cast("int").alias("idx"))
+    first = int(exclude_pad_label)
+    scores = scores.where(F.col("idx") >= first)
+    spine = scores.sparkSession.range(first, num_labels)
+    spine = spine.select(F.col("id").cast("int").alias("idx"))
     if background is None:
-        others = spine.select("idx", F.col("idx").alias("place"), F.lit(0.0).alias("p"))
+        others = spine.select("idx", (F.col("idx") - first).alias("place"), F.lit(0.0).alias("p"))
     else:
         filled = lookup(spine, background.select("idx", "p"), ["idx"], num_labels, "idx")
         filled = filled.fillna({"p": 0.0})
@@ -89,7 +94,7 @@ def top_items(
             F.collect_list("place").alias("_taken"),
         )
     )
-    near = F.sequence(F.lit(0), F.least(F.size("_taken") + k, F.lit(num_labels)) - 1)
+    near = F.sequence(F.lit(0), F.least(F.size("_taken") + k, F.lit(num_labels - first)) - 1)
     free = F.slice(F.array_except(near, F.col("_taken")), 1, k)
     candidates = F.concat(
         F.transform("_own", lambda s: _candidate(-s["q"], s["idx"], F.lit(None))),

@@ -1,7 +1,7 @@
 """Lines rolled up to baskets and baskets to customer sequences.
 
-There are two forms. The long form has one row per distinct (customer, basket, item) and takes any
-input: no group is ever gathered in one place. The nested form has arrays, and its two bounds are
+There are two forms. The long form has one row per distinct (customer, basket, item), or per kept
+basket, and takes customers of any length: no customer is ever gathered in one place. The nested form has arrays, and its two bounds are
 part of its meaning: baskets with ``max_items`` or more items are not modelled, and neither are
 customers with ``max_seq`` or more baskets. Because such groups are left out anyway, no more than
 ``max_items`` items of a basket and ``max_seq`` baskets of a customer are looked at: a row_number
@@ -15,6 +15,9 @@ from basketflow.functions.arrays import pad_basket
 from basketflow.operators.ranking import HEAVY_AFTER, dense_positions
 from basketflow.operators.vocabulary import encode_items
 from basketflow.schemas import BASKET, CUST, PROD
+from basketflow.sources.tables import materialize
+
+HISTORY_STRETCH = 10_000
 
 
 def known_customers(lines: DataFrame, anonymous: str = "drop") -> DataFrame:
@@ -63,6 +66,11 @@ def basket_arrays(items: DataFrame, max_items: int, value: str = PROD) -> DataFr
     )
 
 
+def kept_baskets(items: DataFrame, max_items: int, value: str = PROD) -> DataFrame:
+    """The baskets with fewer than ``max_items`` items, as arrays."""
+    return basket_arrays(items, max_items, value).where(F.col("items").isNotNull())
+
+
 def customer_arrays(baskets: DataFrame, max_seq: int) -> DataFrame:
     """One row per customer: ``baskets``, the ordered arrays of its kept baskets.
 
@@ -88,18 +96,29 @@ def customer_sequences(
     return customer_arrays(basket_arrays(basket_items(lines, anonymous), max_items), max_seq)
 
 
-def basket_history(lines: DataFrame, max_items: int, max_seq: int) -> DataFrame:
-    """For every basket of the nested sequences, the baskets up to and including it.
+def basket_history(lines: DataFrame, stretch: int = HISTORY_STRETCH) -> DataFrame:
+    """(customer, basket_pos, n_items, n_history): items of a basket, and of all up to it.
 
-    A customer's whole history is quadratic in its length, so this view exists for bounded
-    sequences only; ``basket_sequences`` says the same of customers of any length: the history
-    as of a basket is the rows with a ``basket_pos`` up to its own.
+    The history as of a basket is the rows of ``basket_sequences`` with a ``basket_pos`` up to its
+    own; written out it would be quadratic in a customer's length, so it is kept as that relation
+    with its running size. Sums run within stretches of ``stretch`` baskets, to which the sums of
+    the stretches before are added, so a long customer is shared out over many tasks.
     """
-    sequences = customer_sequences(lines, max_items, max_seq)
-    return sequences.select(CUST, "baskets", F.posexplode("baskets").alias("_at", "basket")).select(
+    sizes = basket_sequences(lines).groupBy(CUST, "basket_pos").agg(F.count(PROD).alias("n_items"))
+    sizes = sizes.withColumn("_stretch", F.floor((F.col("basket_pos") - 1) / stretch))
+    up_to = (Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(CUST).orderBy("_stretch").rowsBetween(*up_to)
+    before = (
+        sizes.groupBy(CUST, "_stretch")
+        .agg(F.sum("n_items").alias("_sum"))
+        .select(CUST, "_stretch", (F.sum("_sum").over(whole) - F.col("_sum")).alias("_before"))
+    )
+    within = Window.partitionBy(CUST, "_stretch").orderBy("basket_pos").rowsBetween(*up_to)
+    return sizes.join(before, [CUST, "_stretch"]).select(
         CUST,
-        (F.col("_at") + 1).alias("basket_pos"),
-        F.slice("baskets", 1, F.col("_at") + 1).alias("history"),
+        "basket_pos",
+        "n_items",
+        (F.col("_before") + F.sum("n_items").over(within)).alias("n_history"),
     )
 
 
@@ -111,6 +130,30 @@ def indexed_sequences(
     return customer_arrays(basket_arrays(items, max_items, "idx"), max_seq)
 
 
+def indexed_rows(lines: DataFrame, vocab: DataFrame, num_prods: int) -> DataFrame:
+    """``basket_sequences`` with the vocabulary index of every item."""
+    return encode_items(basket_sequences(lines), vocab, num_prods)
+
+
+def padded_rows(
+    lines: DataFrame, vocab: DataFrame, num_prods: int, max_items: int
+) -> DataFrame:
+    """(customer, basket_pos, items): every kept basket, right-padded with 0.
+
+    Baskets with ``max_items`` or more items are dropped and the others numbered. A customer
+    without a kept basket has one row without a basket.
+    """
+    items = encode_items(basket_items(lines), vocab, num_prods)
+    kept = materialize(kept_baskets(items, max_items, "idx"), "kept-baskets")
+    placed = dense_positions(kept, kept.select(CUST, BASKET), CUST, BASKET)
+    rows = placed.select(
+        CUST, F.col("pos").alias("basket_pos"), pad_basket(F.col("items"), max_items).alias("items")
+    )
+    customers = known_customers(lines).select(CUST).distinct()
+    without = customers.join(kept.select(CUST).distinct(), CUST, "left_anti")
+    return rows.unionByName(without, allowMissingColumns=True)
+
+
 def pad_baskets(sequences: DataFrame, max_items: int) -> DataFrame:
     """Drop baskets with ``max_items`` or more items and right-pad the others with 0."""
 
