@@ -9,8 +9,8 @@ Codes are stored as packed bits with two numbers per vector, its length and <b,
 Every query meets every vector, in blocks: index blocks and query blocks are rows that hold some
 thousands of vectors, and each pair of blocks is one row of a join on block numbers. Within a pair
 the estimates less their bounds give, for every query, a value that its ``k``-th neighbour reaches;
-vectors whose estimate plus bound stays below it are left out, all others are reranked by the exact
-inner product of the original vectors. The pairs' best ``k`` are merged by a window.
+vectors whose estimate plus bound stays below it are left out, all others are reranked by the inner
+products of the original vectors, as one matrix product per block. The pairs' best ``k`` are merged by a window.
 """
 
 import numpy as np
@@ -23,8 +23,10 @@ from basketflow.llm.shared import materialize
 
 NEAREST = 20
 ERROR = 4.0
-BLOCK = 4096
+BLOCK = 2048
+MOST_TASKS = 4096
 SEED = 29
+_CHUNK = 256
 
 
 def rotation(dim: int, seed: int = SEED) -> np.ndarray:
@@ -138,16 +140,27 @@ def _search(row: dict, k: int, error: float) -> pa.RecordBatch:
     lengths, aligned = np.frombuffer(row["lengths"]), np.frombuffer(row["aligned"])
     turn = rotation(dim)
     parts = []
-    for low in range(0, len(query_ids), 256):
-        some = queries[low : low + 256]
+    for low in range(0, len(query_ids), _CHUNK):
+        some = queries[low : low + _CHUNK]
         guess, bound = estimates(codes, lengths, aligned, some, turn, error)
-        own = query_ids[low : low + 256, None] == ids
+        own = query_ids[low : low + _CHUNK, None] == ids
         floor = np.where(own, -np.inf, guess - bound)
         if floor.shape[1] > k:
             reach = np.partition(floor, -k, axis=1)[:, -k]
         else:
             reach = np.full(len(some), -np.inf, np.float32)
-        q, v = np.nonzero((guess + bound >= reach[:, None]) & ~own)
+        wanted = (guess + bound >= reach[:, None]) & ~own
+        # A product of matrices ranks the wanted vectors; those that reach the k-th place, give or
+        # take the rounding, are summed again in a fixed order.
+        some_vectors = np.flatnonzero(wanted.any(axis=0))
+        wanted = wanted[:, some_vectors]
+        products = np.where(wanted, some @ vectors[some_vectors].T, -np.inf)
+        if products.shape[1] > k:
+            slack = 1e-9 * np.abs(products, where=wanted, out=np.zeros_like(products)).max(axis=1)
+            kth = np.partition(products, -k, axis=1)[:, -k] - slack
+            wanted &= products >= kth[:, None]
+        q, v = np.nonzero(wanted)
+        v = some_vectors[v]
         scores = exact(some[q], vectors[v])
         order = np.lexsort((ids[v], -scores, q))
         q, v, scores = q[order], v[order], scores[order]
@@ -183,7 +196,8 @@ def nearest(
     spread = index(candidates).withColumn(
         "query_block", F.explode(F.sequence(F.lit(0), to_all[F.col("dim")] - 1))
     )
-    pairs = spread.join(asked, ["dim", "query_block"])
+    number = sum(many[dim] * few.get(dim, 0) for dim in many)
+    pairs = spread.join(asked, ["dim", "query_block"]).repartition(min(number, MOST_TASKS))
     found = pairs.mapInArrow(_best(k, error), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
