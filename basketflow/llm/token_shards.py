@@ -8,12 +8,9 @@ are range-partitioned by shard and sorted, so that record i of shard s is slot s
 starts at byte i * stride; a reader can go on from any slot. Nothing but counts per part is gathered.
 """
 
-import zlib
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,7 +46,7 @@ def permute(numbers: np.ndarray, total: int, key: int = KEY) -> np.ndarray:
 
 def _sequences(tokenizer: str, length: int, end_id: int, kind: str):
     def run(batches):
-        encode, pack = encoder(tokenizer).encode, zstandard.ZstdCompressor(level=1)
+        encode = encoder(tokenizer).encode
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
             rows, starts, counts, packed = [], [], [], []
@@ -60,7 +57,7 @@ def _sequences(tokenizer: str, length: int, end_id: int, kind: str):
                     rows.append(row)
                     starts.append(start)
                     counts.append(len(some))
-                    packed.append(pack.compress(some.tobytes()))
+                    packed.append(some.tobytes())
             yield pa.RecordBatch.from_pydict(
                 {
                     "part": pa.array(np.full(len(rows), part, np.int32)),
@@ -76,28 +73,6 @@ def _sequences(tokenizer: str, length: int, end_id: int, kind: str):
     return run
 
 
-def _records(length: int, pad_id: int, kind: str):
-    """Unpacks every sequence into a record of fixed size."""
-
-    def run(batches):
-        unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
-            records, checks = [], []
-            for packed in batch.column("packed").to_pylist():
-                raw = unpack.decompress(packed)
-                record = np.full(length, pad_id, kind)
-                record[: len(raw) // record.itemsize] = np.frombuffer(raw, kind)
-                records.append(record.tobytes())
-                checks.append(zlib.crc32(raw))
-            kept = batch.drop_columns(["packed"])
-            yield pa.RecordBatch.from_arrays(
-                [*kept.columns, pa.array(checks, pa.int64()), pa.array(records, pa.binary())],
-                names=[*kept.schema.names, "ids_crc32", "record"],
-            )
-
-    return run
-
-
 def training_order(
     docs: DataFrame,
     tokenizer: str,
@@ -150,10 +125,11 @@ def training_order(
     )
     shards = -(-total // per_shard)
     ordered = placed.repartitionByRange(shards, "shard").sortWithinPartitions("slot")
-    return ordered.mapInArrow(
-        _records(length, pad_id, kind),
-        "slot long, shard long, byte_offset long, doc_id long, start long, n_ids int, "
-        "ids_crc32 long, record binary",
+    pad = F.lit(np.full(1, pad_id, kind).tobytes())
+    return ordered.select(
+        *[c for c in ordered.columns if c != "packed"],
+        F.crc32("packed").alias("ids_crc32"),
+        F.rpad("packed", stride, pad).alias("record"),
     )
 
 
