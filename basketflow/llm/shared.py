@@ -16,11 +16,20 @@ from basketflow.sources.tables import materialize
 __all__ = ["crc_bucket", "documents", "key_bitmap", "in_bitmap", "map_text", "materialize", "ship"]
 
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+ARROW_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, as --py-files would, once per application."""
+    """Give the executors this package, as --py-files would, once per application.
+
+    Batches of texts for Python are kept small as well: workers hold a few of them at a time.
+    """
+    for key, value in ARROW_BATCHES.items():
+        spark.conf.set(key, value)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
