@@ -190,10 +190,12 @@ def evaluate(
     weights: DataFrame | None = None,
     k: int = TOP_K,
     exclude_pad_label: bool = False,
+    rank_pad_label: bool = True,
 ) -> DataFrame:
     """One row: loss, accuracy, macro precision, recall and F1, and top-k recall and precision.
 
-    ``exclude_pad_label`` leaves label 0, which is set for every example, out of all measures.
+    ``exclude_pad_label`` leaves label 0, which is set for every example, out of all measures but
+    the ranking, which leaves it out without ``rank_pad_label``.
     """
     y = labels_of(examples)
     n = example_count(examples)
@@ -201,7 +203,7 @@ def evaluate(
     if exclude_pad_label:
         outcomes = outcomes.where(F.col("idx") != 0)
     ranking = top_k_metrics(
-        y, scores, examples, num_labels, k, background, exclude_pad_label
+        y, scores, examples, num_labels, k, background, not rank_pad_label
     )
     ranking = ranking.select(
         F.col("recall").alias("recall_top_k"), F.col("precision").alias("precision_top_k")

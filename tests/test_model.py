@@ -72,8 +72,9 @@ def test_embeddings_have_a_row_per_label(vectors):
 @pytest.mark.parametrize("skip_pads", [False, True])
 def test_basket_vectors(spark, vectors, skip_pads):
     table = {r.idx: r.vector for r in vectors.collect()}
-    schema = f"{CUST} string, baskets array<array<int>>"
-    df = spark.createDataFrame([("a", [[3, 4, 0], [5, 0, 0]])], schema)
+    schema = f"{CUST} string, basket_pos int, items array<int>"
+    rows = [("a", 1, [3, 4, 0]), ("a", 2, [5, 0, 0]), ("b", None, None)]
+    df = spark.createDataFrame(rows, schema)
     found = embeddings.basket_vectors(df, vectors, WIDTH, skip_pads).orderBy("basket_pos").collect()
     for row, items in zip(found, ([3, 4], [5])):
         size = len(items) if skip_pads else 3
@@ -133,14 +134,12 @@ def test_model_learns_repeat_purchases(spark, examples, vectors, tmp_path):
         examples, scores, WIDTH, background, k=4, exclude_pad_label=True
     ).first()
     assert bare.accuracy < row.accuracy and bare.recall_top_k == row.recall_top_k
+    named = model.evaluate(examples, scores, WIDTH, background, k=4, rank_pad_label=False).first()
+    assert named.accuracy == row.accuracy and named.recall_top_k != row.recall_top_k
+    without = top_items(scores, examples, 3, WIDTH, background, exclude_pad_label=True)
+    assert without.where("idx = 0").isEmpty() and without.count() == 3 * examples.count()
     best = top_items(scores, examples, 3, WIDTH, background)
     assert best.count() == 3 * examples.count()
     assert background.count() == WIDTH
     assert background.where("p < 0 or p > 1").count() == 0
 
-
-def test_similar_items(spark, examples):
-    baskets = examples.select(F.explode("x").alias("items"))
-    learned = embeddings.fit_item_embeddings(baskets, MAX_ITEMS, size=8, partitions=1)
-    found = embeddings.similar_items(learned, 1, 3).collect()
-    assert len(found) == 3 and 1 not in {r.idx for r in found}
