@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from basketflow.llm.textbytes import text_slices
 
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 600_000
 _JOINED = 500
 _ENCODERS: dict = {}
 
