@@ -227,6 +227,17 @@ def _sets_with(nodes, size: int):
     return run
 
 
+def _only(nodes):
+    """The rows whose first column is in the bitmap."""
+
+    def run(batches):
+        for batch in batches:
+            keys = batch.column(0).to_numpy().view(np.uint64)
+            yield batch.filter(pa.array(in_bitmap(nodes.value, keys)))
+
+    return run
+
+
 def _similar(percent: int):
     """Keeps the pairs that their signatures do not rule out."""
 
@@ -338,9 +349,7 @@ def jaccard_components(
         ),
         "sets",
     )
-    signatures = (
-        nodes.where("signature is not null").select("node", "signature").dropDuplicates(["node"])
-    )
+    signatures = nodes.where("signature is not null").select("node", "signature")
     lists = texts.mapInArrow(_by_hash(size, percent), "key long, n long")
     lists = lists.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
     lists = materialize(lists, "lists")
@@ -373,18 +382,24 @@ def jaccard_components(
             F.col("hub.pos").alias("pos2"),
         )
     )
-    starred = materialize(
-        _candidates(postings.join(hubs, "key").where("node <> node2"), percent), "pairs"
-    )
+    # Lists of one member, which the bitmap lets through, end here.
+    listed = materialize(postings.drop("light").join(hubs, "key"), "listed")
+    starred = materialize(_candidates(listed.where("node <> node2"), percent), "pairs")
     links = _linked(texts, starred, signatures, size, percent)
     labels = components(links)
-    rest = materialize(_left_over(postings, labels, starred, percent), "pairs")
+    rest = materialize(_left_over(listed.select("key", "node", "n", "pos"), labels, starred, percent), "pairs")
     if not rest.isEmpty():
         labels = components(links.union(_linked(texts, rest, signatures, size, percent)))
     found = _labelled(nodes.select("doc_id", "node", "n"), labels)
     return found if keep_node else found.drop("node")
 
 
+def _bitmap_of(pairs: DataFrame):
+    """A broadcast bitmap of the nodes of both ends."""
+    used = pairs.select(F.explode(F.array("node", "node2")).alias("node"))
+    return pairs.sparkSession.sparkContext.broadcast(key_bitmap(used, "node", NODE_BITS))
+
+
 def _long(lists: DataFrame, least: tuple[int, ...]) -> list[np.ndarray]:
     return [key_bitmap(lists.where(F.col("n") >= n), "key", LONG_BITS) for n in least]
 
@@ -393,16 +408,17 @@ def _linked(
     texts: DataFrame, pairs: DataFrame, signatures: DataFrame, size: int, percent: int
 ) -> DataFrame:
     """The pairs that are linked."""
+    signatures = signatures.mapInArrow(
+        _only(_bitmap_of(pairs)), "node long, signature binary"
+    ).dropDuplicates(["node"])
     second = signatures.select(F.col("node").alias("node2"), F.col("signature").alias("signature2"))
     marked = pairs.join(second, "node2").join(signatures, "node")
     marked = marked.select("node", "node2", "n", "n2", "signature", "signature2")
     pairs = materialize(
         marked.mapInArrow(_similar(percent), "node long, node2 long"), "similar"
     )
-    used = pairs.select(F.explode(F.array("node", "node2")).alias("node"))
-    wanted = texts.sparkSession.sparkContext.broadcast(key_bitmap(used, "node", NODE_BITS))
     sets = materialize(
-        texts.mapInArrow(_sets_with(wanted, size), "node long, grams binary").dropDuplicates(
+        texts.mapInArrow(_sets_with(_bitmap_of(pairs), size), "node long, grams binary").dropDuplicates(
             ["node"]
         ),
         "grams",
