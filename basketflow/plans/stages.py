@@ -31,6 +31,7 @@ class Settings:
     shares: tuple[float, float, float] = ex.SHARES
     embedding_size: int = 128
     use_class_weights: bool = True
+    regularizations: tuple[float, ...] = (1e-4, 1e-2)
 
     @property
     def num_labels(self) -> int:
@@ -100,26 +101,50 @@ def padded_examples(examples: DataFrame, settings: Settings) -> DataFrame:
 
 
 def train(spark: SparkSession, data: str, output: str, settings: Settings) -> None:
-    """Fit embeddings and model on the train split and evaluate on the test split."""
+    """Fit embeddings and model on the train split and evaluate on the others.
+
+    Of the given regularisations the one with the smallest loss on the valid split is taken; the
+    first where that split is empty. The test split has no part in the choice.
+    """
     s = settings
     examples = read_table(spark, f"{data}/examples")
-    of_train, of_test = (examples.where(F.col("split") == part) for part in ("train", "test"))
+    of_train, of_test, of_valid = (
+        examples.where(F.col("split") == part) for part in ("train", "test", "valid")
+    )
     baskets = of_train.select(F.explode("x").alias("items"))
     learned = emb.fit_item_embeddings(baskets, s.max_items, s.embedding_size)
     write_table(emb.item_embeddings(learned, s.num_labels), f"{output}/embeddings")
     vectors = read_table(spark, f"{output}/embeddings")
-    model, popularity = mdl.fit_next_basket(
-        of_train, s.num_labels, vectors, s.use_class_weights
-    )
-    mdl.save_model(model, f"{output}/model")
-    write_table(popularity, f"{output}/popularity")
     weights = None
     if s.use_class_weights:
         weights = class_weights(ex.labels(of_train), example_count(of_train), s.num_labels)
-    scores, background = mdl.predict(model, of_test, popularity, s.num_labels, vectors)
-    write_table(scores, f"{output}/scores")
-    write_table(background, f"{output}/background")
-    scores = read_table(spark, f"{output}/scores")
-    background = read_table(spark, f"{output}/background")
-    result = mdl.evaluate(of_test, scores, s.num_labels, background, weights)
-    write_table(result, f"{output}/evaluation")
+        write_table(weights, f"{output}/class-weights")
+        weights = read_table(spark, f"{output}/class-weights")
+
+    def evaluated(model, popularity, part, name):
+        """Scores of a split, stored, and their evaluation."""
+        scores, background = mdl.predict(model, part, popularity, s.num_labels, vectors)
+        write_table(scores, f"{output}/scores/{name}")
+        write_table(background, f"{output}/background")
+        scores = read_table(spark, f"{output}/scores/{name}")
+        background = read_table(spark, f"{output}/background")
+        result = mdl.evaluate(part, scores, s.num_labels, background, weights)
+        return result.withColumn("split", F.lit(name))
+
+    best = None
+    for strength in s.regularizations:
+        fitted, popularity = mdl.fit_next_basket(
+            of_train, s.num_labels, vectors, s.use_class_weights, regularization=strength
+        )
+        valid = evaluated(fitted, popularity, of_valid, "valid")
+        loss = valid.first().loss
+        loss = float("inf") if loss is None else loss
+        if best is None or loss < best[0]:
+            best = (loss, strength, fitted, popularity)
+    _, strength, model, popularity = best
+    mdl.save_model(model, f"{output}/model")
+    write_table(popularity, f"{output}/popularity")
+    for name, part in (("valid", of_valid), ("test", of_test)):
+        result = evaluated(model, popularity, part, name)
+        result = result.withColumn("regularization", F.lit(strength))
+        write_table(result, f"{output}/evaluation/{name}")

@@ -94,6 +94,7 @@ def test_stages_from_files_to_evaluation(spark, tables, tmp_path):
     tab.write_csv(sample_tables.transactions(spark, tables), f"{land}/transactions_1")
     tab.write_csv(sample_tables.calendar(spark, tables), f"{land}/time.csv")
     options = ["--num-prods", "50", "--max-items", "8", "--max-seq", "16"]
+    options += ["--scratch", str(tmp_path / "scratch")]
     options += ["--sample-rate", "0.9", "--embedding-size", "4"]
     jobs.main(["stage", land, staging])
     jobs.main(["preprocess", staging, data, *options])
@@ -112,8 +113,10 @@ def test_stages_from_files_to_evaluation(spark, tables, tmp_path):
     dense = stages.padded_examples(examples, settings)
     assert dense.where((F.size("x") != 16) | (F.size("y") != 51)).count() == 0
     assert tab.read_table(spark, f"{out}/embeddings").count() == 51
-    result = tab.read_table(spark, f"{out}/evaluation").first()
-    assert 0 < result.accuracy <= 1 and result.loss > 0
+    for split in ("valid", "test"):
+        result = tab.read_table(spark, f"{out}/evaluation/{split}").first()
+        assert result.split == split and 0 < result.accuracy <= 1 and result.loss > 0
+        assert result.regularization in stages.Settings().regularizations
 
 
 def test_profile_has_all_tables(spark, tables):
