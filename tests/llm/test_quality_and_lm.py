@@ -162,3 +162,26 @@ def test_word_probabilities_add_up():
     for c in range(12):
         assert abs((10 ** book.shares[book.classes == c]).sum() - 1) < 1e-9
     assert class_counts.sum() == total
+
+
+def test_words_of_one_class_learn_their_own_contexts():
+    """Two rare words of one frequency, each after its own word: the right order is likelier."""
+    rng = np.random.default_rng(3)
+    counts = np.full(61, 100)
+    firsts = lm_score.first_ids(60, 4)
+    assert firsts[0] == 0 and firsts[-1] == 60 and (np.diff(firsts) > 0).all() and len(firsts) < 15
+    model = lm_score.LogBilinear(counts, firsts)
+    assert model.class_of[50] == model.class_of[51]
+    pairs = rng.permutation(np.tile([[10, 50], [11, 51], [12, 52]], (6000, 1)))
+    ids = pairs.ravel().astype(np.int32)
+    windows = lm_score.windows_of(ids, np.array([len(ids)]), model.words)
+    assert len(windows) == len(ids) and windows[5].tolist() == ids[[4, 3, 2, 5]].tolist()
+    for seed in range(2):
+        model.train(windows, seed)
+    for first, right, wrong in ((10, 50, 51), (11, 51, 50)):
+        sums = model.log_sums(np.array([12, 52, first, right, 12, 52, first, wrong]), np.array([0, 4]))
+        assert sums[0] > sums[1] + 1
+    texts = [np.array([3, 11, w]) for w in range(61)]
+    sums = model.log_sums(np.concatenate(texts), np.arange(0, 183, 3))
+    prefix = model.log_sums(np.array([3, 11]), np.array([0]))[0]
+    assert abs(np.exp(sums - prefix).sum() - 1) < 1e-4
