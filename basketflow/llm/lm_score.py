@@ -36,7 +36,6 @@ DICTIONARY = 1 << 18
 SINGLE_WORDS = 190
 CONTEXT = 3
 DIM = 16
-STRIDE = 8
 SHARD = 1 << 23
 ROUNDS = 2
 NOISE = 64
@@ -422,7 +421,7 @@ def train(encoded: DataFrame, model: LogBilinear, rounds: int = ROUNDS) -> LogBi
             start, number = shared.value
             part = part.sort_values(["doc_id", "n_tokens", "ids"])
             ids = np.frombuffer(b"".join(part["ids"]), np.int32)
-            windows = windows_of(ids, part["n_tokens"].to_numpy(), start.words, 0, STRIDE)
+            windows = windows_of(ids, part["n_tokens"].to_numpy(), start.words, number, rounds)
             model = copy.deepcopy(start)
             model.train(windows, seed=1000 * number + int(part["shard"].iloc[0]))
             found = [

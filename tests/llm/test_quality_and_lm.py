@@ -185,3 +185,30 @@ def test_words_of_one_class_learn_their_own_contexts():
     sums = model.log_sums(np.concatenate(texts), np.arange(0, 183, 3))
     prefix = model.log_sums(np.array([3, 11]), np.array([0]))[0]
     assert abs(np.exp(sums - prefix).sum() - 1) < 1e-4
+
+
+def test_every_place_is_learned_from_once(docs, monkeypatch):
+    texts = [(i, f"w{i} " * (i % 20 + 1), "en", "s", 0) for i in range(50)]
+    frame = docs.sparkSession.createDataFrame(texts, corpus.SCHEMA)
+    counts = lm_score.count_words(frame)
+    book = lm_score.dictionary(counts, counts.agg(F.sum("count")).first()[0])
+    marked = frame.select("doc_id", "text", F.lit(True).alias("learn"), F.lit(False).alias("held_out"))
+    known = docs.sparkSession.sparkContext.broadcast(book)
+    encoded = marked.mapInArrow(lm_score._encode(known), lm_score._ENCODED)
+    by_id = np.append(book.counts[np.argsort(book.ids)], book.class_counts[-1])
+    def weights_of_tokens(batches):
+        """Stands for the means: the first shared number grows by the tokens of the shards."""
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["block"] < 0:
+                    change = np.zeros(len(row["changes"]) // 2, np.float32)
+                    change[0] = np.frombuffer(row["weights"], np.float32)[0]
+                    column = pa.array([change.tobytes()], pa.binary())
+                    yield pa.RecordBatch.from_pydict({"block": pa.array([-1], pa.int32()), "mean": column})
+
+    monkeypatch.setattr(lm_score, "_mean_changes", weights_of_tokens)
+    model = lm_score.LogBilinear(by_id, lm_score.first_ids(len(book.ids)))
+    dense = model.dense()
+    lm_score.train(encoded, model)
+    total = sum(i % 20 + 2 for i in range(50))
+    assert abs((model.dense() - dense)[0] - total) < 1e-3
