@@ -17,6 +17,7 @@ from basketflow.llm import (
     vector_search,
 )
 from basketflow.llm.shared import crc_bucket, documents, ship
+from basketflow.session import scratch_path
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,7 +79,9 @@ def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return token_shards.training_order(documents(spark, folder), tokenizer)
+    path = scratch_path(spark, "shards")
+    token_shards.write_shards(token_shards.training_order(documents(spark, folder), tokenizer), path)
+    return token_shards.read_from(spark, path, 0)
 
 
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,13 +4,19 @@ Every document becomes sequences of ``length`` ids, its last one padded. Sequenc
 0 .. n - 1 by one pass that stores them and a count per stored part. A keyed Feistel network permutes
 the numbers: it is a bijection of the numbers with an even number of bits, and a result beyond n - 1 goes
 through it again until it is below n (cycle-walking). The permuted number is the sequence's slot. Slots
-are range-partitioned by shard and sorted, so that record i of shard s is slot s * ``per_shard`` + i and
-starts at byte i * stride; a reader can go on from any slot. Nothing but counts per part is gathered.
+are range-partitioned by shard and sorted, so that record i of shard s is slot s * ``per_shard`` + i.
+Every shard is written from its range as one raw file of records without anything between them, so that
+record i starts at byte i * stride of ``shard-<s>.bin``, and a reader goes on from any slot by seeking.
+Beside it ``shard-<s>.index`` has an entry of fixed size per record: where it comes from. Nothing but
+counts per part is gathered.
 """
 
+import uuid
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,6 +32,10 @@ END_ID = 2
 PAD_ID = 0
 KEY = 2024
 ROUNDS = 4
+_ENTRY = np.dtype(
+    [("doc_id", "<i8"), ("has_id", "?"), ("start", "<i8"), ("n_ids", "<i4"), ("ids_crc32", "<i8")]
+)
+_READ = 256
 
 
 def permute(numbers: np.ndarray, total: int, key: int = KEY) -> np.ndarray:
@@ -133,13 +143,135 @@ def training_order(
     )
 
 
+def _store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder that driver and executors share, and the folder's path in it."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
+
+
+class _ShardFile:
+    """A shard in the making, under names of its own until it is whole."""
+
+    def __init__(self, path: str, shard: int):
+        self.files, folder = _store(path)
+        self.shard, self.rows = shard, 0
+        self.names = [f"{folder}/shard-{shard:08d}.{kind}" for kind in ("bin", "index")]
+        self.own = [f"{folder}/_{uuid.uuid4().hex}.part" for _ in self.names]
+        self.streams = [self.files.open_output_stream(name) for name in self.own]
+
+    def write(self, records: bytes, entries: np.ndarray) -> None:
+        self.streams[0].write(records)
+        self.streams[1].write(entries.tobytes())
+        self.rows += len(entries)
+
+    def close(self) -> None:
+        for stream, own, name in zip(self.streams, self.own, self.names):
+            stream.close()
+            self.files.move(own, name)
+
+
+def _written(path: str):
+    """Writes the shards of a task, whose rows come in slot order; (shard, rows) of each."""
+
+    def run(batches):
+        made: _ShardFile | None = None
+        for batch in batches:
+            column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            shards = column["shard"].to_numpy()
+            entries = np.zeros(batch.num_rows, _ENTRY)
+            for name in ("start", "n_ids", "ids_crc32"):
+                entries[name] = column[name].to_numpy()
+            entries["doc_id"] = column["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)
+            entries["has_id"] = column["doc_id"].is_valid().to_numpy(zero_copy_only=False)
+            stride = len(column["record"][0].as_buffer()) if batch.num_rows else 0
+            places = column["byte_offset"].to_numpy()
+            bounds = np.flatnonzero(np.diff(shards)) + 1
+            for low, high in zip([0, *bounds], [*bounds, batch.num_rows]):
+                if low == high:
+                    continue
+                if made is None or made.shard != shards[low]:
+                    if made is not None:
+                        made.close()
+                        yield _count(made)
+                    made = _ShardFile(path, int(shards[low]))
+                if not np.array_equal(places[low:high], (made.rows + np.arange(high - low)) * stride):
+                    raise ValueError(f"shard {made.shard} is not in slot order")
+                made.write(b"".join(column["record"][low:high].to_pylist()), entries[low:high])
+        if made is not None:
+            made.close()
+            yield _count(made)
+
+    return run
+
+
+def _count(made: _ShardFile) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"shard": [made.shard], "rows": [made.rows]})
+
+
 def write_shards(sequences: DataFrame, path: str) -> None:
-    """A folder per shard, its records in slot order, uncompressed."""
-    writer = sequences.write.mode("overwrite").option("compression", "none")
-    writer.partitionBy("shard").parquet(path)
+    """A raw file of records and one of index entries per shard, in a folder that all tasks share.
+
+    Files get their names when they are whole, so a task may be tried again. What the folder had
+    before goes.
+    """
+    files, folder = _store(path)
+    files.create_dir(folder)
+    files.delete_dir_contents(folder)
+    sequences.mapInArrow(_written(path), "shard long, rows long").agg(F.sum("rows")).collect()
 
 
 def read_from(spark: SparkSession, path: str, slot: int, per_shard: int = PER_SHARD) -> DataFrame:
-    """The records from a slot on: earlier shards are not opened, earlier records skipped."""
-    stored = spark.read.parquet(path).where(F.col("shard") >= slot // per_shard)
-    return stored.where(F.col("slot") >= slot).orderBy("slot")
+    """The records from a slot on, in slot order: earlier shards are not opened, and the first one is
+    read from the slot's byte on. A task reads whole shards, one after the other."""
+    files, folder = _store(path)
+    found = files.get_file_info(fs.FileSelector(folder))
+    names = [i.base_name for i in found if i.base_name.endswith(".bin")]
+    shards = 1 + max((int(n.removeprefix("shard-").removesuffix(".bin")) for n in names), default=-1)
+
+    def run(batches):
+        for batch in batches:
+            for shard in batch.column(0).to_pylist():
+                first = max(slot - shard * per_shard, 0)
+                yield from _records(path, shard, first, per_shard)
+
+    first = min(slot // per_shard, shards)
+    numbers = spark.range(first, shards, 1, max(shards - first, 1))
+    return numbers.mapInArrow(
+        run,
+        "slot long, shard long, byte_offset long, doc_id long, start long, n_ids int, "
+        "ids_crc32 long, record binary",
+    )
+
+
+def _records(path: str, shard: int, first: int, per_shard: int):
+    """The records of a shard from its ``first`` on, by seeking in its two files."""
+    files, folder = _store(path)
+    names = [f"{folder}/shard-{shard:08d}.{kind}" for kind in ("bin", "index")]
+    with files.open_input_file(names[0]) as records, files.open_input_file(names[1]) as index:
+        rows = index.size() // _ENTRY.itemsize
+        stride = records.size() // rows
+        records.seek(first * stride)
+        index.seek(first * _ENTRY.itemsize)
+        for low in range(first, rows, _READ):
+            entries = np.frombuffer(index.read(_READ * _ENTRY.itemsize), _ENTRY)
+            count = len(entries)
+            raw = records.read(count * stride)
+            ends = pa.py_buffer((np.arange(count + 1) * stride).astype(np.int32))
+            place = np.arange(low, low + count)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(shard * per_shard + place),
+                    pa.array(np.full(count, shard)),
+                    pa.array(place * stride),
+                    pa.array(entries["doc_id"].copy(), mask=~entries["has_id"]),
+                    pa.array(entries["start"].copy()),
+                    pa.array(entries["n_ids"].copy()),
+                    pa.array(entries["ids_crc32"].copy()),
+                    pa.Array.from_buffers(pa.binary(), count, [None, ends, pa.py_buffer(raw)]),
+                ],
+                names=_READ_NAMES,
+            )
+
+
+_READ_NAMES = ["slot", "shard", "byte_offset", "doc_id", "start", "n_ids", "ids_crc32", "record"]

@@ -92,3 +92,23 @@ def test_shards_round_trip(spark, odd, ids, tmp_path):
 
 def test_no_shards(no_docs):
     assert token_shards.training_order(no_docs.withColumn("slot", F.lit(1)), PATH).count() == 0
+
+
+def test_a_shard_is_one_raw_file_of_records(spark, odd, tmp_path):
+    path = tmp_path / "raw"
+    want = token_shards.training_order(odd, PATH, length=32, per_shard=16).toPandas()
+    token_shards.write_shards(token_shards.training_order(odd, PATH, length=32, per_shard=16), str(path))
+    for shard, own in want.groupby("shard"):
+        raw = (path / f"shard-{shard:08d}.bin").read_bytes()
+        assert len(raw) == 64 * len(own)
+        for offset, record in zip(own["byte_offset"], own["record"]):
+            assert raw[offset : offset + 64] == bytes(record)
+    assert not [f for f in path.iterdir() if f.suffix == ".part"]
+    (path / "shard-00000000.bin").write_bytes(b"")
+    rest = token_shards.read_from(spark, str(path), 21, 16).toPandas()
+    later = want[want["slot"] >= 21].sort_values("slot")
+    assert rest["record"].map(bytes).tolist() == later["record"].map(bytes).tolist()
+    assert rest["ids_crc32"].tolist() == later["ids_crc32"].tolist()
+    assert rest["doc_id"].isna().sum() == later["doc_id"].isna().sum()
+    token_shards.write_shards(token_shards.training_order(odd.limit(0), PATH), str(path))
+    assert token_shards.read_from(spark, str(path), 0).count() == 0
