@@ -70,10 +70,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The packed pieces of all documents; a document taken twice is packed twice."""
+    """The packed pieces of all documents with their ids; a document taken twice is packed twice."""
     ship(spark)
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack(docs, tokenizer, with_ids=False)
+    return packing.pack(docs, tokenizer)
 
 
 STAGES = [

@@ -1,3 +1,5 @@
+import zlib
+
 import corpus
 from pyspark.sql import functions as F
 
@@ -41,3 +43,8 @@ def test_empty_corpus(spark, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         kept = stage(spark, kept, "")
     assert kept.count() == 0
+
+
+def test_last_stage_gives_the_ids(spark, docs):
+    rows = dict(corpus_pipeline.STAGES)["pack"](spark, docs, "").collect()
+    assert rows and all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
