@@ -2,13 +2,14 @@
 
 The field labels words by their shapes and those of their neighbours. It reads every word with a
 digit or an @ together with ``AROUND`` words on either side, which is where its kinds can occur. It
-is trained on the driver on a small labelled table: the words around the base findings, and around
-other words with a digit or an @, of a bounded number of rows (``rows``). Words of one kind that
+is trained on the driver on a small labelled table, drawn by smallest hash from all texts: ``rows``
+distinct sequences of words with a base finding, and ``rows`` around other words with a digit or an @. Words of one kind that
 follow each other are one span. It is added if it overlaps no base finding and could be of its kind:
 an address on both sides of an @, four numbers up to 255, a number with a right check digit, 8 to 15
 digits in groups.
 """
 
+import hashlib
 import re
 import zlib
 from dataclasses import dataclass
@@ -16,10 +17,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from basketflow.llm.crf import ChainField
-from basketflow.llm.shared import map_text
+from basketflow.llm.shared import map_text, sample_by_label
 from basketflow.llm.spans import Span, digest, disjoint, joined, members, redact
 from basketflow.llm.textbytes import text_slices, words
 
@@ -40,11 +40,6 @@ AROUND = 3
 LONGEST = 128
 FEATURES = 1 << 13
 _BATCH = 1024
-# Words with a digit or an @, the few words between them, and four on either side.
-_STRETCH = (
-    r"(?:[^\s0-9@]{1,40}\s+){0,4}"
-    r"(?:[^\s0-9@]{0,40}[0-9@]\S{0,60}(?:\s+[^\s0-9@]{1,40}){0,4}\s{0,3}){1,20}"
-)
 _MARKED = members("0123456789@")
 _DIGITS = members("0123456789")
 
@@ -187,35 +182,42 @@ def _scan(column: pa.Array):
         yield texts, base, _sequences(data, offsets, texts)
 
 
+def _examples(column: pa.Array):
+    """(has a base finding, digest, features and labels) of every sequence."""
+    for _, base, found in _scan(column):
+        for sequence in found:
+            labels = [_label(place, base[sequence.text]) for place in sequence.places]
+            key = "\n".join(sequence.words).encode() + bytes(labels)
+            digest = hashlib.blake2b(key, digest_size=8).digest()
+            yield any(labels), int.from_bytes(digest, "little", signed=True), _Example(sequence.words, labels)
+
+
+@dataclass
+class _Example:
+    words: list[str]
+    labels: list[int]
+
+    def __call__(self) -> tuple[bytes, bytes]:
+        return np.array(_word_features(self.words), np.int32).tobytes(), bytes(self.labels)
+
+
 def fit(docs: DataFrame, rows: int = ROWS) -> PersonalModel:
-    """A field trained on the rows of smallest text hash that hold a digit or an @.
+    """A field trained on at most ``rows`` sequences with a base finding and ``rows`` without.
 
-    Of each row at most ten stretches with a digit or an @ are read. Without a base finding among
-    them nothing is learned and nothing added.
+    They are drawn by label, from all rows and any place in a text. Without a base finding nothing
+    is learned and nothing added.
     """
-    around = F.regexp_extract_all("text", F.lit(_STRETCH), F.lit(0))
-    sample = (
-        docs.where(F.col("text").rlike("[0-9@]"))
-        .select(
-            F.xxhash64("text").alias("digest"),
-            F.concat_ws("\n", F.slice(around, 1, 10)).substr(1, 2000).alias("text"),
-        )
-        .orderBy("digest", "text")
-        .limit(rows)
-        .select("text")
-    )
-    column = pa.array([r[0] for r in sample.collect()], pa.string())
-    sequences, truth = [], []
-    for _, base, found in _scan(column):
-        for sequence in found:
-            sequences.append(sequence)
-            truth.append([_label(place, base[sequence.text]) for place in sequence.places])
-    if not any(any(labels) for labels in truth):
+    others, findings = sample_by_label(docs, _examples, rows)
+    if not findings:
         return PersonalModel(None)
-    features, sizes = _padded(sequences)
+    sample = findings + others
+    sizes = np.array([len(labels) for _, labels in sample])
+    width = len(sample[0][0]) // (4 * len(sample[0][1]))
+    features = np.zeros((len(sample), int(sizes.max()), width), np.int64)
     labels = np.zeros(features.shape[:2], np.int64)
-    for i, row in enumerate(truth):
-        labels[i, : len(row)] = row
+    for i, (one, two) in enumerate(sample):
+        features[i, : sizes[i]] = np.frombuffer(one, np.int32).reshape(-1, width)
+        labels[i, : sizes[i]] = np.frombuffer(two, np.uint8)
     return PersonalModel(ChainField(len(LABELS), FEATURES).fit(features, labels, sizes))
 
 

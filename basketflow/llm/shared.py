@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from basketflow.sources.tables import materialize
 
-__all__ = ["crc_bucket", "documents", "key_bitmap", "in_bitmap", "map_text", "materialize", "ship"]
+__all__ = ["crc_bucket", "documents", "key_bitmap", "in_bitmap", "map_text", "materialize", "sample_by_label", "ship"]
 
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 ARROW_BATCHES = {
@@ -110,3 +110,39 @@ def map_text(
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return source.mapInArrow(run, schema)
+
+
+def sample_by_label(docs: DataFrame, examples: Callable, rows: int) -> list[list[tuple[bytes, bytes]]]:
+    """``rows`` distinct examples of smallest digest without and ``rows`` with a finding, of all texts.
+
+    ``examples`` gives of a text column (has a finding, digest, its two values) of every example, the
+    values maybe as a function that makes them. A task keeps no more than it may have to send.
+    """
+
+    def run(batches):
+        best: list[dict[int, object]] = [{}, {}]
+        for batch in batches:
+            for has, digest, values in examples(batch.column(0)):
+                best[has].setdefault(digest, values)
+                if len(best[has]) > 2 * rows + 1000:
+                    best[has] = {k: best[has][k] for k in sorted(best[has])[:rows]}
+        for has, kept in enumerate(best):
+            some = sorted(kept)[:rows]
+            made = [kept[k]() if callable(kept[k]) else kept[k] for k in some]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([bool(has)] * len(some), pa.bool_()),
+                    pa.array(some, pa.int64()),
+                    *[pa.array([m[i] for m in made], pa.binary()) for i in range(2)],
+                ],
+                names=["has", "digest", "one", "two"],
+            )
+
+    found = docs.select("text").where("text is not null")
+    stored = materialize(
+        found.mapInArrow(run, "has boolean, digest long, one binary, two binary"), "examples"
+    )
+    return [
+        [(r["one"], r["two"]) for r in some.dropDuplicates(["digest"]).orderBy("digest").limit(rows).collect()]
+        for some in (stored.where("not has"), stored.where("has"))
+    ]

@@ -181,3 +181,16 @@ def test_disjoint_and_redact():
     new = [spans.Span("c", x, x + 2) for x in (0, 1, 4, 5, 6, 7, 9, 10)]
     assert [s.start for s in spans.disjoint(new, taken)] == [0, 5, 9]
     assert spans.redact("0123456789", taken + [spans.Span("c", 3, 7)]) == "01[a]7[b]9"
+
+
+def test_rare_findings_are_learned_from(spark):
+    """Few texts have a finding, late in the text; a sample of rows would miss them."""
+    rng, made = random.Random(8), []
+    for i in range(600):
+        text = " ".join(f"{corpus.text(rng, 3)} part{j}x{rng.randint(10, 99)}-{i}-abcdefgh" for j in range(25))
+        if i % 60 == 7:
+            text += f" token: {secret(rng)} call +1 (226) 555-{1000 + i} now"
+        made.append((i, text, "en", "s", 0))
+    frame = spark.createDataFrame(made, corpus.SCHEMA)
+    assert secret_scan.fit(frame, rows=20).net is not None
+    assert personal_data.fit(frame, rows=20).field is not None
