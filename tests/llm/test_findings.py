@@ -194,3 +194,20 @@ def test_rare_findings_are_learned_from(spark):
     frame = spark.createDataFrame(made, corpus.SCHEMA)
     assert secret_scan.fit(frame, rows=20).net is not None
     assert personal_data.fit(frame, rows=20).field is not None
+
+
+def test_threshold_keeps_the_recall_without_names():
+    """Values like the others' can be told by their names only; without these the recall still holds."""
+    rng = np.random.default_rng(5)
+    truth = np.repeat([0, 1], [900, 100])
+    windows = rng.integers(97, 123, (1000, secret_scan.LENGTH)).astype(np.uint8)
+    windows[:, : secret_scan.BEFORE] = 32
+    windows[truth == 1, 10 : secret_scan.BEFORE] = np.frombuffer(b"the  token  : ", np.uint8)
+    model = secret_scan._calibrated(windows, truth, 0.99, 5)
+    held = np.random.default_rng(5).random(1000) < 0.3
+    secrets = windows[held & (truth == 1)]
+    bare = secrets.copy()
+    bare[:, : secret_scan.BEFORE] = 0
+    for some in (secrets, bare):
+        assert (model.probabilities(some) >= model.threshold).mean() >= 0.99
+    assert model.threshold < 0.5
