@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from basketflow.llm.crf import ChainField
 from basketflow.llm.shared import map_text, sample_by_label
-from basketflow.llm.spans import Span, digest, disjoint, joined, members, redact
+from basketflow.llm.spans import Span, digest, disjoint, joined, members, near, redact
 from basketflow.llm.textbytes import text_slices, words
 
 # The base patterns. Runs of digits are taken whole, so a failed one is not retried.
@@ -185,8 +185,11 @@ def _scan(column: pa.Array):
 def _examples(column: pa.Array):
     """(has a base finding, digest, features and labels) of every sequence."""
     for _, base, found in _scan(column):
+        by_text = [near(spans) if spans else None for spans in base]
         for sequence in found:
-            labels = [_label(place, base[sequence.text]) for place in sequence.places]
+            within = by_text[sequence.text]
+            own = within(sequence.places[0][0], sequence.places[-1][1]) if within else []
+            labels = [_label(place, own) for place in sequence.places]
             key = "\n".join(sequence.words).encode() + bytes(labels)
             digest = hashlib.blake2b(key, digest_size=8).digest()
             yield any(labels), int.from_bytes(digest, "little", signed=True), _Example(sequence.words, labels)

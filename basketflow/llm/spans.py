@@ -1,6 +1,8 @@
 """Spans of findings in texts: runs of bytes, code point places, digests."""
 
 import hashlib
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -69,3 +71,16 @@ def code_points(data: np.ndarray, offsets: np.ndarray, places: np.ndarray) -> np
     text = np.searchsorted(offsets, places, side="right") - 1
     text = np.minimum(text, len(offsets) - 2)
     return leads[places] - leads[offsets[text]]
+
+
+def near(spans: list[Span]):
+    """A function of (start, end) that gives the spans which may reach into it, in their order."""
+    order = sorted(range(len(spans)), key=lambda i: spans[i].start)
+    starts = [spans[i].start for i in order]
+    reach = list(accumulate((spans[i].end for i in order), max))
+
+    def within(start: int, end: int) -> list[Span]:
+        low, high = bisect_right(reach, start), bisect_left(starts, end)
+        return [spans[i] for i in sorted(order[low:high])]
+
+    return within

@@ -211,3 +211,13 @@ def test_threshold_keeps_the_recall_without_names():
     for some in (secrets, bare):
         assert (model.probabilities(some) >= model.threshold).mean() >= 0.99
     assert model.threshold < 0.5
+
+
+def test_near_spans_by_force():
+    rng = random.Random(2)
+    for _ in range(200):
+        some = [spans.Span("x", a, a + rng.randint(1, 9)) for a in (rng.randint(0, 40) for _ in range(8))]
+        start = rng.randint(0, 40)
+        end = start + rng.randint(1, 9)
+        want = [s for s in some if s.start < end and start < s.end]
+        assert [s for s in spans.near(some)(start, end) if start < s.end] == want
