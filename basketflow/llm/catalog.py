@@ -14,6 +14,7 @@ from basketflow.llm import (
     quality_rules,
     secret_scan,
     token_shards,
+    toxicity,
     vector_search,
 )
 from basketflow.llm.shared import crc_bucket, documents, ship
@@ -95,6 +96,14 @@ def op10_vector_search(spark: SparkSession, folder: str) -> DataFrame:
     return vector_search.nearest(vectors, F.col("vec_id") % 20 == 0)
 
 
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder.rstrip('/')}/labels.parquet")
+    held_out = F.coalesce(crc_bucket("doc_id", 5) == 0, F.lit(False))
+    model = toxicity.fit(docs.where(crc_bucket("doc_id", 5) != 0), labels)
+    return toxicity.score(docs.withColumn("held_out", held_out), model, drop_text=True)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_jaccard_components": op2_jaccard_components,
@@ -106,6 +115,7 @@ QUERIES = {
     "op8_token_shards": op8_token_shards,
     "op9_packing": op9_packing,
     "op10_vector_search": op10_vector_search,
+    "op12_toxicity": op12_toxicity,
 }
 
 # What is learned has no SQL; op10's error bounds are wide enough for the exact result.
