@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.llm import (
+    hard_negatives,
     jaccard_join,
     language_id,
     lm_score,
@@ -104,6 +105,16 @@ def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs.withColumn("held_out", held_out), model, drop_text=True)
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    vectors = spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = vectors.select(
+        "vec_id", hard_negatives.whole_numbers("embedding").alias("vector"), moved.alias("label")
+    )
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_jaccard_components": op2_jaccard_components,
@@ -116,6 +127,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_vector_search": op10_vector_search,
     "op12_toxicity": op12_toxicity,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 # What is learned has no SQL; op10's error bounds are wide enough for the exact result.
@@ -139,4 +151,32 @@ ORACLE_SQL: dict[str, str] = {
         )
         select query_id, rank::integer as rank, vec_id, score from ranked where rank <= 20
     """,
+    "op13_hard_negatives": """
+        with valid as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x: floor(256 * x::double)) as v
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+              and len(embedding) > 0
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        scored as (
+            select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+                   list_inner_product(a.v, c.v)::bigint as score
+            from valid a join valid c on a.vec_id <> c.vec_id and len(a.v) = len(c.v)
+            where a.vec_id % 50 = 0
+        ),
+        positives as (
+            select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+        )
+        select p.anchor_id, p.positive_id,
+               row_number() over (
+                   partition by p.anchor_id, p.positive_id order by n.score desc, n.vec_id
+               )::integer as rank,
+               n.vec_id as negative_id, p.positive_score, n.score as negative_score
+        from positives p join scored n on n.anchor_id = p.anchor_id and not n.same
+        where 50 * p.positive_score <= 100 * n.score and 100 * n.score <= 95 * p.positive_score
+        qualify rank <= 3
+    """,
 }
