@@ -12,6 +12,7 @@ from basketflow.llm import (
     mixing,
     packing,
     personal_data,
+    prefix_trie,
     quality_rules,
     secret_scan,
     token_shards,
@@ -97,6 +98,11 @@ def op10_vector_search(spark: SparkSession, folder: str) -> DataFrame:
     return vector_search.nearest(vectors, F.col("vec_id") % 20 == 0)
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    return prefix_trie.trie(spark.read.parquet(f"{folder.rstrip('/')}/conversations.parquet"))
+
+
 def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     labels = spark.read.parquet(f"{folder.rstrip('/')}/labels.parquet")
@@ -126,6 +132,7 @@ QUERIES = {
     "op8_token_shards": op8_token_shards,
     "op9_packing": op9_packing,
     "op10_vector_search": op10_vector_search,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_toxicity": op12_toxicity,
     "op13_hard_negatives": op13_hard_negatives,
 }
@@ -151,6 +158,72 @@ ORACLE_SQL: dict[str, str] = {
         )
         select query_id, rank::integer as rank, vec_id, score from ranked where rank <= 20
     """,
+    # The CRC-32 takes each byte in and then eight bits, one list entry for each bit.
+    "op11_prefix_trie": """
+        with turns as (
+            select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+                   row_number() over (
+                       partition by conv_id order by turn nulls first,
+                       md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))
+                   ) as pos
+            from conversations where conv_id is not null
+        ),
+        convs as (
+            select conv_id,
+                   xor(list_reduce(
+                       list_prepend(4294967295::bigint, flatten(list_transform(
+                           string_split(conv_id::varchar, ''),
+                           lambda c: [ascii(c)::bigint, 0, 0, 0, 0, 0, 0, 0]
+                       ))),
+                       lambda crc, bits: xor(xor(crc, bits) // 2, (xor(crc, bits) % 2) * 3988292384)
+                   ), 4294967295) % 6 as h
+            from (select distinct conv_id from turns)
+        ),
+        rebuilt as (
+            select c.conv_id, t.pos as at, t.role, t.text
+            from convs c join turns t on t.conv_id = c.conv_id - c.conv_id % 100 and t.pos <= c.h
+            union all
+            select c.conv_id, 10 + t.pos, t.role, t.text
+            from convs c join turns t on t.conv_id = c.conv_id and t.pos > c.h
+        ),
+        lists as (
+            select c.conv_id,
+                   coalesce(list({'r': r.role, 't': r.text} order by r.at) filter (where r.at is not null), [])
+                       as turns
+            from convs c left join rebuilt r on r.conv_id = c.conv_id group by c.conv_id
+        ),
+        prefixes as (
+            select conv_id, turns, d, len(turns) = d as whole, md5(list_slice(turns, 1, d)::varchar) as key
+            from (select conv_id, turns, unnest(range(len(turns) + 1)) as d from lists)
+        ),
+        nodes as (
+            select d, key, min(conv_id) as conv_id, count(*) as n_convs, any_value(list_slice(turns, 1, d)) as path,
+                   sha256(coalesce(
+                       string_agg(conv_id::varchar, ',' order by conv_id) filter (where whole), ''
+                   )) as ends_sha256
+            from prefixes group by d, key
+        ),
+        steps as (
+            select *, case when d > 0 then md5(list_slice(path, 1, d - 1)::varchar) end as parent from nodes
+        ),
+        kids as (
+            select d - 1 as d, parent as key, count(*) as n_children from steps where d > 0 group by d, parent
+        ),
+        counted as (
+            select s.*, coalesce(k.n_children, 0) as n_children
+            from steps s left join kids k on k.d = s.d and k.key = s.key
+        ),
+        subtrees as (
+            select up as d, md5(list_slice(path, 1, up)::varchar) as key,
+                   sum(case when n_children = 0 then 1 else 0 end) as n_leaves,
+                   sum(case when d > 0 then (n_convs - 1) * length(path[d].t) else 0 end) as saved_tokens
+            from (select *, unnest(range(d + 1)) as up from counted) group by all
+        )
+        select c.conv_id, c.d as depth, p.conv_id as parent_conv_id, c.n_convs, c.n_children,
+               s.n_leaves::bigint as n_leaves, s.saved_tokens::bigint as saved_tokens, c.ends_sha256
+        from counted c join subtrees s on s.d = c.d and s.key = c.key
+        left join nodes p on p.d = c.d - 1 and p.key = c.parent
+    """,
     "op13_hard_negatives": """
         with valid as (
             select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
