@@ -14,6 +14,7 @@ fitted on texts that the models had not seen: one half of the sample learns and
 scored, and the other way round; the final models learn from the whole sample.
 """
 
+import pickle
 from typing import NamedTuple
 
 import numpy as np
@@ -25,7 +26,7 @@ from basketflow.llm import textbytes
 from basketflow.llm.shared import map_text
 
 # Bounds of what is learned from, per class: texts, and bytes of them.
-ROWS, SAMPLE_BYTES = 8_000, 12 << 20
+ROWS, SAMPLE_BYTES = 8_000, 8 << 20
 STRONG = (0.4, 0.7, 1.0, 1.3)  # log10 differences beyond which a word is evidence by itself
 COLUMNS = 1 + 2 * len(STRONG)
 _SCALE = 100.0  # sums are taken per so many words
@@ -122,8 +123,8 @@ def learn(places: list[tuple[list[np.ndarray], list[np.ndarray]]]) -> Model:
             cut = _cut(counts[c])
             np.divide(np.bincount(back, cut, minlength=len(heads)), total, out=left[c], where=total > 0)
             shares[c] = (counts[c] - cut) / np.maximum(total, 1)[back]
-        own.append(Table(keys, shares, np.zeros(3)))
-        freed.append(Table(heads, left, np.ones(3)))
+        own.append(Table(keys, shares.astype(np.float32), np.zeros(3)))
+        freed.append(Table(heads, left.astype(np.float32), np.ones(3)))
     return Model(own, freed, np.zeros(1 + COLUMNS))
 
 
@@ -189,32 +190,29 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, rows: int, size: int) ->
 
     They are the texts of labelled documents whose doc_id and text have the smallest hashes. The hash
     cuts either class into parts, which are ranked apart and hold equal shares of both bounds.
-    A doc_id with several labels is toxic if one of them says so.
+    A doc_id with several labels is toxic if one of them says so. The choice is made without the
+    texts, which are then read again for the chosen rows only.
     """
-    known = labels.where("doc_id is not null and toxic is not null")
-    known = known.groupBy(F.col("doc_id").alias("_of")).agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
-    narrow = docs.where("text is not null").select(F.col("doc_id").alias("_of"), "text")
-    digest = F.xxhash64("_of", "text")
-    keyed = narrow.join(known, "_of").select(
-        "text", "toxic", digest.alias("digest"), F.pmod(digest, F.lit(_PARTS)).alias("part")
+    known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").alias("_of"))
+    known = known.agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
+    texts = docs.where("doc_id is not null and text is not null").select(
+        F.col("doc_id").alias("_of"), "text", F.xxhash64("doc_id", "text").alias("digest")
     )
-    order = Window.partitionBy("toxic", "part").orderBy("digest")
+    part = F.pmod("digest", F.lit(_PARTS)).alias("part")
+    keyed = texts.select("_of", "digest", part, F.octet_length("text").cast("bigint").alias("wide"))
+    # Equal rows count once, so that a repeated document does not fill the sample.
+    keyed = keyed.dropDuplicates(["_of", "digest"]).join(known, "_of")
+    order = Window.partitionBy("toxic", "part").orderBy("digest", "_of")
     ranked = keyed.withColumn("at", F.row_number().over(order)).where(F.col("at") <= -(-rows // _PARTS))
     up_to = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sized = ranked.withColumn("bytes", F.sum(F.octet_length("text")).over(up_to))
-    return sized.where(F.col("bytes") <= size // _PARTS).select("text", "toxic", "digest")
+    chosen = ranked.withColumn("sum", F.sum("wide").over(up_to)).where(F.col("sum") <= size // _PARTS)
+    # At most 2 * (rows + _PARTS) pairs of numbers.
+    chosen = F.broadcast(chosen.select("_of", "digest", "toxic"))
+    return texts.join(chosen, ["_of", "digest"]).dropDuplicates(["_of", "digest"]).select("text", "toxic", "digest")
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, rows: int = ROWS, size: int = SAMPLE_BYTES
-) -> Model | None:
-    """Models of the bounded sample of ``labelled_texts``; None unless both classes are in it."""
-    sample = labelled_texts(docs, labels, rows, size).orderBy("toxic", "digest", "text").collect()
-    texts, truth = [r["text"] for r in sample], np.array([r["toxic"] for r in sample])
-    if len(set(truth.tolist())) < 2:
-        return None
-    half = np.array([r["digest"] >> 7 & 1 for r in sample])
-    model = _models(texts, truth)
+def _fitted(texts: list[str], truth: np.ndarray, digests: np.ndarray) -> Model:
+    half = digests >> 7 & 1
     unseen = np.zeros((len(texts), COLUMNS))
     for part in (0, 1):
         inside, apart = half == part, half != part
@@ -223,7 +221,32 @@ def fit(
         other = _models([t for t, a in zip(texts, apart) if a], truth[apart])
         some = [t for t, i in zip(texts, inside) if i]
         unseen[inside] = differences(pa.array(some, pa.string()), other)
-    return model._replace(weights=_calibrate(unseen, truth))
+    return _models(texts, truth)._replace(weights=_calibrate(unseen, truth))
+
+
+def _fit_in_task(batches):
+    texts, truth, digests = [], [], []
+    for batch in batches:
+        columns = batch.to_pydict()
+        texts += columns["text"]
+        truth += columns["toxic"]
+        digests += columns["digest"]
+    if len(set(truth)) == 2:
+        model = pickle.dumps(_fitted(texts, np.array(truth), np.array(digests)))
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, rows: int = ROWS, size: int = SAMPLE_BYTES
+) -> Model | None:
+    """Models of the bounded sample of ``labelled_texts``, made in one task.
+
+    None unless both classes are in it.
+    """
+    sample = labelled_texts(docs, labels, rows, size).repartition(1)
+    sample = sample.sortWithinPartitions("toxic", "digest", "text")
+    made = sample.mapInArrow(_fit_in_task, "model binary").collect()
+    return pickle.loads(made[0]["model"]) if made else None
 
 
 def score(docs: DataFrame, model: Model | None, drop_text: bool = False) -> DataFrame:
