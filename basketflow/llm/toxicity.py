@@ -123,7 +123,9 @@ def learn(places: list[tuple[list[np.ndarray], list[np.ndarray]]]) -> Model:
             cut = _cut(counts[c])
             np.divide(np.bincount(back, cut, minlength=len(heads)), total, out=left[c], where=total > 0)
             shares[c] = (counts[c] - cut) / np.maximum(total, 1)[back]
-        own.append(Table(keys, shares.astype(np.float32), np.zeros(3)))
+        # A pair that both classes together have shown once leaves its share to the shorter counts.
+        kept = counts[2] > order
+        own.append(Table(keys[kept], shares[:, kept].astype(np.float32), np.zeros(3)))
         freed.append(Table(heads, left.astype(np.float32), np.ones(3)))
     return Model(own, freed, np.zeros(1 + COLUMNS))
 
@@ -169,15 +171,15 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def _calibrate(features: np.ndarray, truth: np.ndarray) -> np.ndarray:
-    """Weights of a logistic fit by Newton's method, with a light ridge."""
+def _calibrate(features: np.ndarray, truth: np.ndarray, each: np.ndarray) -> np.ndarray:
+    """Weights of a logistic fit of rows that count ``each`` times, by Newton's method."""
     design = np.column_stack((features, np.ones(len(truth))))
     ridge = np.diag([_RIDGE] * features.shape[1] + [1e-6])
     weights = np.zeros(design.shape[1])
     for _ in range(50):
         p = _logistic(design @ weights)
-        gradient = design.T @ (p - truth) + ridge @ weights
-        curve = (design * (p * (1 - p))[:, None]).T @ design + ridge
+        gradient = design.T @ (each * (p - truth)) + ridge @ weights
+        curve = (design * (each * p * (1 - p))[:, None]).T @ design + ridge
         step = np.linalg.solve(curve, gradient)
         weights -= np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
@@ -185,6 +187,11 @@ def _calibrate(features: np.ndarray, truth: np.ndarray) -> np.ndarray:
     return weights
 
 
+def _known(labels: DataFrame) -> DataFrame:
+    rows = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").alias("_of"))
+    return rows.agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
+
+
 def labelled_texts(docs: DataFrame, labels: DataFrame, rows: int, size: int) -> DataFrame:
     """(text, toxic, digest): at most ``rows`` texts of either class, and ``size`` bytes of them.
 
@@ -193,15 +200,13 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, rows: int, size: int) ->
     A doc_id with several labels is toxic if one of them says so. The choice is made without the
     texts, which are then read again for the chosen rows only.
     """
-    known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").alias("_of"))
-    known = known.agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     texts = docs.where("doc_id is not null and text is not null").select(
         F.col("doc_id").alias("_of"), "text", F.xxhash64("doc_id", "text").alias("digest")
     )
     part = F.pmod("digest", F.lit(_PARTS)).alias("part")
     keyed = texts.select("_of", "digest", part, F.octet_length("text").cast("bigint").alias("wide"))
     # Equal rows count once, so that a repeated document does not fill the sample.
-    keyed = keyed.dropDuplicates(["_of", "digest"]).join(known, "_of")
+    keyed = keyed.dropDuplicates(["_of", "digest"]).join(_known(labels), "_of")
     order = Window.partitionBy("toxic", "part").orderBy("digest", "_of")
     ranked = keyed.withColumn("at", F.row_number().over(order)).where(F.col("at") <= -(-rows // _PARTS))
     up_to = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -211,7 +216,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, rows: int, size: int) ->
     return texts.join(chosen, ["_of", "digest"]).dropDuplicates(["_of", "digest"]).select("text", "toxic", "digest")
 
 
-def _fitted(texts: list[str], truth: np.ndarray, digests: np.ndarray) -> Model:
+def _fitted(texts: list[str], truth: np.ndarray, digests: np.ndarray, of: np.ndarray) -> Model:
+    """The models, calibrated to the classes' numbers of labelled rows, which ``of`` has."""
     half = digests >> 7 & 1
     unseen = np.zeros((len(texts), COLUMNS))
     for part in (0, 1):
@@ -221,19 +227,23 @@ def _fitted(texts: list[str], truth: np.ndarray, digests: np.ndarray) -> Model:
         other = _models([t for t, a in zip(texts, apart) if a], truth[apart])
         some = [t for t, i in zip(texts, inside) if i]
         unseen[inside] = differences(pa.array(some, pa.string()), other)
-    return _models(texts, truth)._replace(weights=_calibrate(unseen, truth))
+    each = (of / of.sum() * len(truth) / np.maximum(np.bincount(truth, minlength=2), 1))[truth]
+    return _models(texts, truth)._replace(weights=_calibrate(unseen, truth, each))
+
 
+def _fit_in_task(of: np.ndarray):
+    def run(batches):
+        texts, truth, digests = [], [], []
+        for batch in batches:
+            columns = batch.to_pydict()
+            texts += columns["text"]
+            truth += columns["toxic"]
+            digests += columns["digest"]
+        if len(set(truth)) == 2:
+            model = pickle.dumps(_fitted(texts, np.array(truth), np.array(digests), of))
+            yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
-def _fit_in_task(batches):
-    texts, truth, digests = [], [], []
-    for batch in batches:
-        columns = batch.to_pydict()
-        texts += columns["text"]
-        truth += columns["toxic"]
-        digests += columns["digest"]
-    if len(set(truth)) == 2:
-        model = pickle.dumps(_fitted(texts, np.array(truth), np.array(digests)))
-        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
+    return run
 
 
 def fit(
@@ -241,11 +251,14 @@ def fit(
 ) -> Model | None:
     """Models of the bounded sample of ``labelled_texts``, made in one task.
 
+    The sample has more of the rarer class than the labels have; the score is calibrated to the labels.
     None unless both classes are in it.
     """
+    known = docs.where("text is not null").select(F.col("doc_id").alias("_of")).join(_known(labels), "_of")
+    counts = known.agg(*[F.count_if(F.col("toxic") == c).alias(f"n{c}") for c in (0, 1)]).first()
     sample = labelled_texts(docs, labels, rows, size).repartition(1)
     sample = sample.sortWithinPartitions("toxic", "digest", "text")
-    made = sample.mapInArrow(_fit_in_task, "model binary").collect()
+    made = sample.mapInArrow(_fit_in_task(np.array([*counts], float)), "model binary").collect()
     return pickle.loads(made[0]["model"]) if made else None
 
 

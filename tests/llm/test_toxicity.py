@@ -73,7 +73,7 @@ def _plain(texts, truth, word, before):
         if not total:
             return base
         freed = sum(d[min(v, 3) - 1] for v in rows.values()) / total
-        n = rows.get(key, 0)
+        n = rows.get(key, 0) if isinstance(key, str) or bigrams[2].get(key, 0) > 1 else 0
         return (n - d[min(n, 3) - 1] if n else 0) / total + freed * base
 
     singles, bigrams = both(singles), both(bigrams)
