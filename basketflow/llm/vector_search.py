@@ -180,14 +180,16 @@ def nearest(
 
     Rows need vec_id and embedding; others are not read. A vector that is null, empty, zero or has
     a null or non-finite component takes no part, nor does a row without vec_id. Vectors meet those
-    of their own dimension. Rows with one vec_id are candidates apart, and a query's own id is
-    never its neighbour; a query id that is there twice is answered once, by the better of its rows.
+    of their own dimension. Repeated rows, and rows that share a vec_id, are candidates apart, each
+    with a rank of its own; a query's own id is never its neighbour. A query id that is there several
+    times is answered once, for the smallest of its vectors.
     Equal scores are ordered by vec_id. An empty table gives no rows.
     """
     valid = usable(rows.select("vec_id", "embedding").where("vec_id is not null"), "embedding")
     valid = valid.withColumn("dim", F.size("embedding"))
     candidates, many = _blocks(valid, "block", block)
-    asked, few = _blocks(valid.where(is_query), "query_block", block)
+    queries = valid.where(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    asked, few = _blocks(queries.withColumn("dim", F.size("embedding")), "query_block", block)
     asked = asked.withColumnsRenamed({"ids": "query_ids", "vectors": "query_vectors"})
     if not many or not few:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -200,5 +202,5 @@ def nearest(
     pairs = spread.join(asked, ["dim", "query_block"]).repartition(min(number, MOST_TASKS))
     found = pairs.mapInArrow(_best(k, error), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -21,10 +21,13 @@ def by_force(rows, k, is_query):
         for i, v in rows
         if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)
     ]
+    asked = {}
     for q, a in good:
         if is_query(q):
-            scored = [(-dot(a, b), i) for i, b in good if i != q and len(a) == len(b)]
-            found += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k])]
+            asked[q] = min(asked.get(q, a), a, key=list)
+    for q, a in asked.items():
+        scored = [(-dot(a, b), i) for i, b in good if i != q and len(a) == len(b)]
+        found += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k])]
     return found
 
 
@@ -47,6 +50,16 @@ def test_same_as_brute_force_over_several_blocks(spark):
     assert sorted(tuple(r) for r in got) == sorted(by_force(rows, 5, lambda i: i % 20 == 0))
 
 
+def test_repeated_rows_and_queries(spark):
+    """A near vector that is there 30 times takes 30 places; a query asked twice is answered once."""
+    rows, _ = table(spark, 60)
+    rows += [rows[7]] * 30 + [rows[20], (40, rows[3][1]), (40, rows[4][1])]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    got = vs.nearest(frame, F.col("vec_id") % 20 == 0, block=32).collect()
+    assert sorted(tuple(r) for r in got) == sorted(by_force(rows, 20, lambda i: i % 20 == 0))
+    assert sum(r.query_id == 20 for r in got) == 20
+
+
 def test_fewer_candidates_than_asked_for_and_no_rows(spark):
     rows, frame = table(spark, 3)
     got = vs.nearest(frame.where("vec_id < 3"), F.col("vec_id") == 0, k=20).collect()
