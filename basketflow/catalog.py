@@ -5,11 +5,13 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, FloatType, IntegerType, ShortType
 
-from basketflow.operators import affinity, batches, embeddings, metrics, model, profiling
+from basketflow.operators import affinity, batches, embeddings, item_vectors, metrics, model
+from basketflow.operators import neighbours as near
+from basketflow.operators import personal, profiling, transitions
 from basketflow.operators import examples as ex
 from basketflow.operators import sampling, scoring, sequences
 from basketflow.operators import vocabulary as voc
@@ -111,9 +113,26 @@ def scan_calendar_csv(spark, folder):
     return landing.read_calendar(spark, root)
 
 
+@query
+def empty_landing(spark, folder):
+    """Landing tables where no file has arrived: both are there, with their columns and no rows."""
+    calendar, lines = landing.read_landing(spark, scratch_path(spark, "no-landing"))
+    named = [("calendar", calendar), ("transactions", lines)]
+    counts = [
+        df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("name"), "n_rows", F.lit(len(df.columns)).alias("n_columns"))
+        for name, df in named
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 # Profiles
 
 
+@query
+def profile_schema(spark, folder):
+    return profiling.schema_table(sample_tables.transactions(spark, folder))
+
+
 @query
 def profile_head(spark, folder):
     order = (CUST, BASKET, PROD, "SPEND", "QUANTITY", "STORE_CODE")
@@ -232,6 +251,26 @@ def basket_history_in_stretches(spark, folder):
     return sequences.basket_history(sample_tables.basket_lines(spark, folder), stretch=3)
 
 
+@query
+def nested_customer_sequences(spark, folder):
+    """The nested form: every modelled customer with its kept baskets as one text."""
+    lines = sample_tables.basket_lines(spark, folder)
+    df = sequences.customer_sequences(lines, SETTINGS.max_items, SETTINGS.max_seq)
+    return df.select(CUST, F.size("baskets").alias("n_baskets"), _texts(F.col("baskets")).alias("baskets"))
+
+
+@query
+def history_items_as_of(spark, folder):
+    """The history of every customer as of the middle and the last of its baskets."""
+    occurrences = materialize(
+        sequences.item_occurrences(sample_tables.basket_lines(spark, folder)), "occurrences"
+    )
+    length = occurrences.groupBy(CUST).agg(F.max("basket_pos").alias("n"))
+    wanted = F.array(F.floor((F.col("n") + 1) / 2), F.col("n"))
+    requests = length.select(CUST, F.explode(F.array_distinct(wanted)).alias("as_of"))
+    return sequences.history_items_as_of(occurrences, requests)
+
+
 # Vocabulary
 
 
@@ -577,7 +616,9 @@ def _predicted(spark: SparkSession, folder: str):
 def next_basket_predictions(spark, folder):
     """The most probable items of the next basket of every test customer, by name."""
     test, scores, background, _ = _predicted(spark, folder)
-    best = scoring.top_items(scores, test, metrics.TOP_K, SETTINGS.num_labels, background)
+    best = scoring.top_items(
+        scores, test, metrics.TOP_K, SETTINGS.num_labels, background, exclude_pad_label=True
+    )
     vocab = _vocab(sample_tables.basket_lines(spark, folder))
     return voc.decode_items(best, vocab, SETTINGS.num_prods, spread=CUST)
 
@@ -587,3 +628,145 @@ def evaluation(spark, folder):
     test, scores, background, weights = _predicted(spark, folder)
     scores = materialize(scores, "scores")
     return model.evaluate(test, scores, SETTINGS.num_labels, background, weights)
+
+
+# Neighbours, transitions and the personal model
+
+BEST, LEAST_SIMILARITY, SUBSTITUTES = 20, 0.12, 10
+
+
+def _train_baskets(examples: DataFrame) -> DataFrame:
+    """Every basket of the train histories."""
+    return _part(examples, "train").select(F.explode("x").alias("items"))
+
+
+def _neighbours(examples: DataFrame) -> DataFrame:
+    return near.item_neighbours(_train_baskets(examples), BEST)
+
+
+@query
+def item_neighbours(spark, folder):
+    """The items that go best with every item, and the first similarity that its list leaves out."""
+    return _neighbours(_stored_examples(spark, folder))
+
+
+@query
+def collaborative_scores(spark, folder):
+    """Every customer's scores by the neighbours of its items, in and outside its history."""
+    examples = _stored_examples(spark, folder)
+    history = scoring.item_history(examples)
+    return near.collaborative_scores(history, _neighbours(examples), SETTINGS.num_labels, BEST)
+
+
+@query
+def collaborative_slack(spark, folder):
+    """What a score of a customer can miss because the neighbour lists are cut."""
+    examples = _stored_examples(spark, folder)
+    history = scoring.item_history(examples)
+    return near.collaborative_slack(history, _neighbours(examples), SETTINGS.num_labels, BEST)
+
+
+@query
+def item_substitutes(spark, folder):
+    """Items with like neighbours that never share a basket."""
+    baskets = materialize(_kept_baskets(spark, folder), "baskets")
+    return near.item_substitutes(
+        near.item_neighbours(baskets, BEST),
+        affinity.counted_pairs(baskets),
+        SETTINGS.num_labels,
+        LEAST_SIMILARITY,
+        SUBSTITUTES,
+        BEST,
+    )
+
+
+@query
+def item_transitions(spark, folder):
+    """Which items follow which in the next basket of the train customers."""
+    train = _part(_stored_examples(spark, folder), "train")
+    return _rounded(transitions.item_transitions(train), "p", "lift")
+
+
+@query
+def following_scores(spark, folder):
+    """Every customer's scores by what followed the items of its last basket elsewhere."""
+    examples = _stored_examples(spark, folder)
+    known = transitions.item_transitions(_part(examples, "train"))
+    return transitions.following_scores(examples, known, SETTINGS.num_labels)
+
+
+def _personal(spark: SparkSession, folder: str):
+    """Examples, and what the personal model takes from the train split."""
+    examples = _stored_examples(spark, folder)
+    train = _part(examples, "train")
+    popularity = personal.popularity_of(train, SETTINGS.num_labels)
+    known = (_neighbours(examples), transitions.item_transitions(train), popularity, SETTINGS.num_labels, BEST)
+    return examples, train, popularity, known
+
+
+@query
+def personal_cells(spark, folder):
+    """Features and label of every (customer, item) of the train split that has any."""
+    _, train, _, known = _personal(spark, folder)
+    return _rounded(personal.cells(train, *known), "frequency", "popularity")
+
+
+def _personal_rows(spark: SparkSession, folder: str):
+    examples, train, popularity, known = _personal(spark, folder)
+    own = materialize(personal.cells(train, *known), "personal-cells")
+    return examples, personal.training_rows(train, own, popularity, SETTINGS.num_labels), popularity, known
+
+
+@query
+def personal_training_rows(spark, folder):
+    """Rows, customers times items they stand for, and positives, by label."""
+    _, rows, _, _ = _personal_rows(spark, folder)
+    totals = [F.round(F.sum(F.col("times") * F.col(c)), 3).alias(c) for c in personal.FEATURES]
+    return rows.groupBy("y").agg(F.sum("times").alias("n"), *totals)
+
+
+@query
+def model_fit_check(spark, folder):
+    """Sums of the features over the positives, and by the fitted probabilities: equal at the optimum."""
+    _, rows, _, _ = _personal_rows(spark, folder)
+    checked = personal.fit_check(rows, personal.fit(rows))
+    return checked.select("feature", *[F.round(c, 4).alias(c) for c in ("observed", "fitted")])
+
+
+@query
+def personal_predictions(spark, folder):
+    """The most probable items of the next basket of every test customer, unknown items left out."""
+    examples, rows, popularity, known = _personal_rows(spark, folder)
+    test = _part(examples, "test")
+    own = personal.cells(test, *known, labelled=False)
+    scores, background = personal.predict(personal.fit(rows), own, popularity)
+    best = scoring.top_items(
+        scores, test, metrics.TOP_K, SETTINGS.num_labels, background, exclude_pad_label=True
+    )
+    return _rounded(best, "p")
+
+
+@query
+def item_pmi(spark, folder):
+    """Positive pointwise mutual information of the items that share baskets."""
+    cells = item_vectors.pmi_cells(_kept_baskets(spark, folder))
+    return _rounded(cells, "value")
+
+
+@query
+def item_vectors_pmi(spark, folder):
+    """A repeatable vector for every item, by components."""
+    cells = item_vectors.pmi_cells(_kept_baskets(spark, folder))
+    found = item_vectors.item_vectors(cells, SETTINGS.num_labels, SETTINGS.embedding_size)
+    return found.select("idx", F.posexplode("vector").alias("component", "value"))
+
+
+@query
+def item_vectors_check(spark, folder):
+    """Whether every vector is of length 1, at right angles to the others and nearly an eigenvector."""
+    cells = item_vectors.pmi_cells(_kept_baskets(spark, folder))
+    checks = item_vectors.vector_checks(cells, SETTINGS.num_labels, SETTINGS.embedding_size, passes=40)
+    first = F.max(F.abs("value")).over(Window.partitionBy())
+    return checks.select(
+        "component", (F.col("off") < 1e-9).alias("apart"), (F.col("residual") < 0.1 * first).alias("fits")
+    )

@@ -6,18 +6,23 @@ dense matrices where the Spark side avoids them.
 
 from basketflow.catalog import (
     BATCH_SIZE,
+    BEST,
     DIGEST_SIZE,
     DIGITS,
+    LEAST_SIMILARITY,
     PASSES,
     SAMPLE_RATE,
     SETTINGS,
+    SUBSTITUTES,
 )
 from basketflow.operators.batches import SEED as BATCH_SEED
 from basketflow.operators.examples import SEED as SPLIT_SEED
 from basketflow.operators.examples import SHARES
 from basketflow.operators.metrics import TOP_K
 from basketflow.operators.sampling import SEED as SAMPLE_SEED
+from basketflow.operators.personal import FEATURES
 from basketflow.operators.scoring import DECAY, SCORE_DIGITS
+from basketflow.operators.transitions import SHRINK
 from basketflow.schemas import TRANSACTIONS_SCHEMA
 from basketflow.sources.sample_tables import BASKET_WIDTH, CUST_WIDTH, PROD_WIDTH
 
@@ -259,6 +264,121 @@ CTES = {
         SELECT DISTINCT c."BASKET_ID", c.idx
         FROM coded c JOIN kept k USING ("CUST_CODE", "BASKET_ID") WHERE c.idx <> 0""",
     ),
+    # Items of every basket of the train histories, unknown ones left out.
+    "x_items": (
+        ("usable",),
+        """
+        SELECT DISTINCT "CUST_CODE", basket_pos, idx
+        FROM (SELECT "CUST_CODE", basket_pos, unnest(string_split(padded, ','))::BIGINT AS idx
+              FROM usable WHERE split = 'train' AND basket_pos < n_baskets) WHERE idx <> 0""",
+    ),
+    "x_pairs": (
+        ("x_items",),
+        f"""
+        SELECT p.idx, p.other, n_both, round(n_both / sqrt(a.n * b.n), {SCORE_DIGITS}) AS similarity
+        FROM (SELECT a.idx, b.idx AS other, count(*) AS n_both
+              FROM x_items a JOIN x_items b USING ("CUST_CODE", basket_pos)
+              WHERE a.idx <> b.idx GROUP BY 1, 2) p
+        JOIN (SELECT idx, count(*) AS n FROM x_items GROUP BY 1) a ON a.idx = p.idx
+        JOIN (SELECT idx, count(*) AS n FROM x_items GROUP BY 1) b ON b.idx = p.other""",
+    ),
+    "x_ranked": (
+        ("x_pairs",),
+        """
+        SELECT *, row_number() OVER (PARTITION BY idx ORDER BY similarity DESC, other) AS rank
+        FROM x_pairs""",
+    ),
+    "x_neighbours": (
+        ("x_ranked",),
+        f"""
+        SELECT r.*, coalesce(c.similarity, 0) AS cut
+        FROM x_ranked r LEFT JOIN x_ranked c ON c.idx = r.idx AND c.rank = {BEST + 1}
+        WHERE r.rank <= {BEST}""",
+    ),
+    "collaborative": (
+        ("scores", "x_neighbours"),
+        f"""
+        SELECT s."CUST_CODE", n.other AS idx, round(sum(s.p * n.similarity), {SCORE_DIGITS - 1}) AS p
+        FROM scores s JOIN x_neighbours n ON n.idx = s.idx GROUP BY 1, 2""",
+    ),
+    "all_pairs": (
+        ("pairs",),
+        """
+        SELECT p.a, p.b, n_both, x.n AS n_a, y.n AS n_b
+        FROM (SELECT a.idx AS a, b.idx AS b, count(*) AS n_both
+              FROM pairs a JOIN pairs b ON a."BASKET_ID" = b."BASKET_ID" AND a.idx <> b.idx GROUP BY 1, 2) p
+        JOIN (SELECT idx, count(*) AS n FROM pairs GROUP BY 1) x ON x.idx = p.a
+        JOIN (SELECT idx, count(*) AS n FROM pairs GROUP BY 1) y ON y.idx = p.b""",
+    ),
+    "steps": (
+        ("x_items", "usable"),
+        """
+        SELECT u."CUST_CODE", u.basket_pos
+        FROM (SELECT DISTINCT "CUST_CODE", basket_pos, n_baskets FROM usable WHERE split = 'train') u
+        WHERE u.basket_pos + 1 < u.n_baskets""",
+    ),
+    "followed": (
+        ("x_items", "steps"),
+        f"""
+        SELECT p.*, f.n_a, t.n_b, s.n AS n_steps, n_ab / (f.n_a + {SHRINK}) AS share,
+               (n_ab + {SHRINK} * (t.n_b / s.n)) / (f.n_a + {SHRINK}) AS p
+        FROM (SELECT a.idx AS idx_a, b.idx AS idx_b, count(*) AS n_ab
+              FROM x_items a JOIN x_items b
+                   ON a."CUST_CODE" = b."CUST_CODE" AND b.basket_pos = a.basket_pos + 1 GROUP BY 1, 2) p
+        JOIN (SELECT idx, count(*) AS n_a FROM x_items JOIN steps USING ("CUST_CODE", basket_pos) GROUP BY 1) f
+             ON f.idx = p.idx_a
+        JOIN (SELECT idx, count(*) AS n_b FROM x_items WHERE basket_pos > 1 GROUP BY 1) t ON t.idx = p.idx_b
+        CROSS JOIN (SELECT count(*) AS n FROM steps) s""",
+    ),
+    "last_items": (
+        ("usable",),
+        """
+        SELECT *, count(*) OVER (PARTITION BY "CUST_CODE") AS n
+        FROM (SELECT DISTINCT "CUST_CODE", split, unnest(string_split(padded, ','))::BIGINT AS idx
+              FROM usable WHERE basket_pos = n_baskets - 1) WHERE idx <> 0""",
+    ),
+    "following": (
+        ("last_items", "followed"),
+        f"""
+        SELECT l."CUST_CODE", f.idx_b AS idx, round(sum(f.share / l.n), {SCORE_DIGITS - 1}) AS p
+        FROM last_items l JOIN followed f ON f.idx_a = l.idx GROUP BY 1, 2""",
+    ),
+    "appeal": (
+        ("train_labels", "train_x", "width"),
+        """
+        SELECT w.idx, ln((count(l.idx) + 0.5) / (any_value(t.n) + 1)) AS popularity
+        FROM width w LEFT JOIN train_labels l ON l.idx = w.idx
+        CROSS JOIN (SELECT count(DISTINCT "CUST_CODE") AS n FROM train_x) t GROUP BY 1""",
+    ),
+    "personal": (
+        ("scores", "train_x", "collaborative", "following", "appeal", "train_labels", "splits"),
+        """
+        SELECT k."CUST_CODE", k.idx, (l.idx IS NOT NULL)::BIGINT AS y,
+               coalesce(s.p, 0) AS recency, coalesce(x.n_with / x.n_x, 0) AS frequency,
+               coalesce(x.in_last, 0)::DOUBLE AS in_last, coalesce(c.p, 0) AS neighbours,
+               coalesce(f.p, 0) AS follows, a.popularity
+        FROM (SELECT "CUST_CODE", idx FROM scores UNION SELECT "CUST_CODE", idx FROM collaborative
+              UNION SELECT "CUST_CODE", idx FROM following) k
+        JOIN splits p ON p."CUST_CODE" = k."CUST_CODE" AND p.split = 'train'
+        LEFT JOIN scores s ON s."CUST_CODE" = k."CUST_CODE" AND s.idx = k.idx
+        LEFT JOIN train_x x ON x."CUST_CODE" = k."CUST_CODE" AND x.idx = k.idx
+        LEFT JOIN collaborative c ON c."CUST_CODE" = k."CUST_CODE" AND c.idx = k.idx
+        LEFT JOIN following f ON f."CUST_CODE" = k."CUST_CODE" AND f.idx = k.idx
+        LEFT JOIN train_labels l ON l."CUST_CODE" = k."CUST_CODE" AND l.idx = k.idx
+        JOIN appeal a ON a.idx = k.idx""",
+    ),
+    # Every train customer with every label, dense.
+    "personal_dense": (
+        ("personal", "train_labels", "splits", "width", "appeal"),
+        """
+        SELECT (l.idx IS NOT NULL)::BIGINT AS y, coalesce(p.recency, 0) AS recency,
+               coalesce(p.frequency, 0) AS frequency, coalesce(p.in_last, 0) AS in_last,
+               coalesce(p.neighbours, 0) AS neighbours, coalesce(p.follows, 0) AS follows, a.popularity
+        FROM splits c CROSS JOIN width w
+        LEFT JOIN personal p ON p."CUST_CODE" = c."CUST_CODE" AND p.idx = w.idx
+        LEFT JOIN train_labels l ON l."CUST_CODE" = c."CUST_CODE" AND l.idx = w.idx
+        JOIN appeal a ON a.idx = w.idx WHERE c.split = 'train'""",
+    ),
 }
 
 STRING_COLUMNS = [f.name for f in TRANSACTIONS_SCHEMA if f.dataType.simpleString() == "string"]
@@ -279,6 +399,14 @@ def _with(needed: tuple[str, ...], body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n][1]})" for n in ordered) + "\n" + body
 
 
+def _schema_rows() -> str:
+    return " UNION ALL ".join(
+        f"""SELECT {i}::BIGINT AS position, '{f.name}' AS "column", '{f.dataType.simpleString()}' AS type,
+            true AS nullable"""
+        for i, f in enumerate(TRANSACTIONS_SCHEMA)
+    )
+
+
 def _numeric(source: str, columns: list[str]) -> str:
     parts = [
         f"""SELECT '{c}' AS "column", round(avg("{c}")::DOUBLE, 3) AS mean,
@@ -576,4 +704,97 @@ def oracle_sql() -> dict[str, str]:
                 JOIN (SELECT idx AS idx_b, count(*) AS n_b FROM pairs GROUP BY 1) USING (idx_b)
                 CROSS JOIN (SELECT count(*) AS n_baskets FROM kept)""",
         ),
+        "nested_customer_sequences": _with(
+            ("items",),
+            f"""SELECT "CUST_CODE", count(items) AS n_baskets,
+                       coalesce(string_agg(items, ';' ORDER BY "BASKET_ID"), '') AS baskets
+                FROM (SELECT "CUST_CODE", "BASKET_ID",
+                             CASE WHEN count(*) < {MAX_ITEMS}
+                                  THEN string_agg("PROD_CODE", ',' ORDER BY "PROD_CODE") END AS items
+                      FROM items GROUP BY 1, 2)
+                GROUP BY 1 HAVING count(items) < {MAX_SEQ}""",
+        ),
+        "history_items_as_of": _with(
+            ("items",),
+            """, placed AS (
+                 SELECT "CUST_CODE", "PROD_CODE",
+                        dense_rank() OVER (PARTITION BY "CUST_CODE" ORDER BY "BASKET_ID") AS pos
+                 FROM items),
+               requests AS (
+                 SELECT DISTINCT "CUST_CODE", unnest([(n + 1) // 2, n]) AS as_of
+                 FROM (SELECT "CUST_CODE", max(pos) AS n FROM placed GROUP BY 1))
+               SELECT p."CUST_CODE", as_of, "PROD_CODE", min(pos) AS first_pos, max(pos) AS last_pos,
+                      count(*) AS times
+               FROM placed p JOIN requests r ON r."CUST_CODE" = p."CUST_CODE" AND p.pos <= r.as_of
+               GROUP BY 1, 2, 3""",
+        ),
+        "empty_landing": """SELECT * FROM (VALUES ('calendar', 0::BIGINT, 3::BIGINT),
+                            ('transactions', 0::BIGINT, 22::BIGINT)) t(name, n_rows, n_columns)""",
+        "profile_schema": _schema_rows(),
+        "item_neighbours": _with(
+            ("x_neighbours",), "SELECT idx, rank, other, n_both, similarity, cut FROM x_neighbours"
+        ),
+        "collaborative_scores": _with(
+            ("collaborative",), 'SELECT "CUST_CODE", idx, p FROM collaborative'
+        ),
+        "collaborative_slack": _with(
+            ("scores", "x_neighbours"),
+            f"""SELECT "CUST_CODE", round(sum(p * coalesce(cut, 0)), {SCORE_DIGITS - 1}) AS slack
+                FROM scores s LEFT JOIN (SELECT DISTINCT idx, cut FROM x_neighbours) n ON n.idx = s.idx
+                WHERE s.idx <> 0 GROUP BY 1""",
+        ),
+        "item_substitutes": _with(
+            ("all_pairs",),
+            f""", listed AS (
+                  SELECT a AS idx, b AS other, round(n_both / sqrt(n_a * n_b), {SCORE_DIGITS}) AS s,
+                         row_number() OVER (
+                             PARTITION BY a
+                             ORDER BY round(n_both / sqrt(n_a * n_b), {SCORE_DIGITS}) DESC, b) AS rank
+                  FROM all_pairs QUALIFY rank <= {BEST}),
+                profile AS (
+                  SELECT idx, other, s / sqrt(sum(s * s) OVER (PARTITION BY idx)) AS w FROM listed),
+                alike AS (
+                  SELECT x.idx, y.idx AS other, round(sum(x.w * y.w), {SCORE_DIGITS - 1}) AS similarity
+                  FROM profile x JOIN profile y ON x.other = y.other AND x.idx <> y.idx GROUP BY 1, 2)
+                SELECT idx, other, similarity,
+                       row_number() OVER (PARTITION BY idx ORDER BY similarity DESC, other) AS rank
+                FROM (SELECT * FROM alike WHERE similarity >= {LEAST_SIMILARITY}
+                      AND NOT EXISTS (SELECT 1 FROM all_pairs p
+                                      WHERE p.a = alike.idx AND p.b = alike.other))
+                QUALIFY rank <= {SUBSTITUTES}""",
+        ),
+        "item_transitions": _with(
+            ("followed",),
+            f"""SELECT idx_a, idx_b, n_ab, n_a, n_b, round(p, {DIGITS}) AS p,
+                       round(p / (n_b / n_steps), {DIGITS}) AS lift FROM followed""",
+        ),
+        "following_scores": _with(
+            ("following",), 'SELECT "CUST_CODE", idx, p FROM following'
+        ),
+        "personal_cells": _with(
+            ("personal",), f"""SELECT "CUST_CODE", idx, y, recency, round(frequency, {DIGITS}) AS frequency, in_last,
+                       neighbours, follows, round(popularity, {DIGITS}) AS popularity FROM personal"""
+        ),
+        "personal_training_rows": _with(
+            ("personal_dense",),
+            f"""SELECT y, count(*) AS n, {", ".join(f"round(sum({c}), 3) AS {c}" for c in FEATURES)}
+                FROM personal_dense GROUP BY 1""",
+        ),
+        "model_fit_check": _with(
+            ("personal_dense",),
+            " UNION ALL ".join(
+                f"""SELECT '{name}' AS feature, round(sum(y * {value}), 4) AS observed,
+                           round(sum(y * {value}), 4) AS fitted FROM personal_dense"""
+                for name, value in {"intercept": "1.0::DOUBLE", **{c: c for c in FEATURES}}.items()
+            ),
+        ),
+        "item_pmi": _with(
+            ("all_pairs", "kept"),
+            f"""SELECT a AS idx_a, b AS idx_b,
+                       round(ln(n_both * n / (n_a * n_b)::DOUBLE), {DIGITS}) AS value
+                FROM all_pairs CROSS JOIN (SELECT count(*) AS n FROM kept)
+                WHERE ln(n_both * n / (n_a * n_b)::DOUBLE) > 0""",
+        ),
+        "item_vectors_check": f"""SELECT range AS component, true AS apart, true AS fits
+                                  FROM range({SETTINGS.embedding_size})""",
     }

@@ -122,6 +122,38 @@ def basket_history(lines: DataFrame, stretch: int = HISTORY_STRETCH) -> DataFram
     )
 
 
+def item_occurrences(lines: DataFrame) -> DataFrame:
+    """(customer, item, basket_pos, first_pos): the baskets of every item, and the first of them.
+
+    The history as of a basket is the items with ``first_pos`` up to its own: a comparison, with
+    one row per distinct line, where lists of items per basket are quadratic.
+    """
+    rows = basket_sequences(lines).where(F.col(PROD).isNotNull()).select(CUST, PROD, "basket_pos")
+    first = rows.groupBy(CUST, PROD).agg(F.min("basket_pos").alias("first_pos"))
+    return rows.join(first, [CUST, PROD])
+
+
+def history_items_as_of(occurrences: DataFrame, requests: DataFrame) -> DataFrame:
+    """(customer, as_of, item, first_pos, last_pos, times): the history as of the requested baskets.
+
+    ``requests`` has (customer, as_of); a request that is there twice is answered once, one before
+    the first basket has no rows, one after the last has the whole history. Only ``occurrences`` of
+    customers that are asked for are read further, and what a request gets is summed up before the
+    shuffle; a customer's occurrences meet its own requests alone.
+    """
+    asked = requests.select(CUST, "as_of").where(F.col(CUST).isNotNull()).distinct()
+    return (
+        occurrences.join(asked, CUST)
+        .where(F.col("basket_pos") <= F.col("as_of"))
+        .groupBy(CUST, "as_of", PROD)
+        .agg(
+            F.min("first_pos").alias("first_pos"),
+            F.max("basket_pos").alias("last_pos"),
+            F.count("*").alias("times"),
+        )
+    )
+
+
 def indexed_sequences(
     lines: DataFrame, vocab: DataFrame, num_prods: int, max_items: int, max_seq: int
 ) -> DataFrame:

@@ -200,3 +200,21 @@ def test_result_does_not_depend_on_partitioning(spark):
     a = seq.basket_sequences(df.repartition(1), heavy_after=50).collect()
     b = seq.basket_sequences(df.repartition(7, F.rand(1)), heavy_after=50).collect()
     assert sorted(a) == sorted(b)
+
+
+def test_history_items_as_of(spark, lines, expected):
+    occurrences = sequences.item_occurrences(lines)
+    asked = [(c, b) for c, baskets in expected.items() for b in range(0, len(baskets) + 2)]
+    asked += asked[:3] + [("nobody", 1), (None, 1)]
+    requests = spark.createDataFrame(asked, "CUST_CODE string, as_of long")
+    found = {
+        (r.CUST_CODE, r.as_of, r.PROD_CODE): (r.first_pos, r.last_pos, r.times)
+        for r in sequences.history_items_as_of(occurrences, requests).collect()
+    }
+    wanted = {}
+    for c, baskets in expected.items():
+        for b in range(1, len(baskets) + 2):
+            for item in set().union(*baskets[:b]):
+                at = [i for i, basket in enumerate(baskets[:b], 1) if item in basket]
+                wanted[c, b, item] = (at[0], at[-1], len(at))
+    assert found == wanted
