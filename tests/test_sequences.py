@@ -203,13 +203,13 @@ def test_result_does_not_depend_on_partitioning(spark):
 
 
 def test_history_items_as_of(spark, lines, expected):
-    occurrences = sequences.item_occurrences(lines)
+    occurrences = seq.item_occurrences(lines)
     asked = [(c, b) for c, baskets in expected.items() for b in range(0, len(baskets) + 2)]
     asked += asked[:3] + [("nobody", 1), (None, 1)]
     requests = spark.createDataFrame(asked, "CUST_CODE string, as_of long")
     found = {
         (r.CUST_CODE, r.as_of, r.PROD_CODE): (r.first_pos, r.last_pos, r.times)
-        for r in sequences.history_items_as_of(occurrences, requests).collect()
+        for r in seq.history_items_as_of(occurrences, requests).collect()
     }
     wanted = {}
     for c, baskets in expected.items():
