@@ -11,7 +11,7 @@ from pyspark.sql.types import ByteType, FloatType, IntegerType, ShortType
 
 from basketflow.operators import affinity, batches, embeddings, item_vectors, metrics, model
 from basketflow.operators import neighbours as near
-from basketflow.operators import personal, profiling, transitions
+from basketflow.operators import personal, position_weights, profiling, transitions
 from basketflow.operators import examples as ex
 from basketflow.operators import sampling, scoring, sequences
 from basketflow.operators import vocabulary as voc
@@ -770,3 +770,36 @@ def item_vectors_check(spark, folder):
     return checks.select(
         "component", (F.col("off") < 1e-9).alias("apart"), (F.col("residual") < 0.1 * first).alias("fits")
     )
+
+
+# Numbers per age at which loss and gradient are compared with the SQL.
+POSITION_B = [round(0.6 - 0.1 * age, 1) for age in range(SETTINGS.max_seq)]
+
+
+def _draws(spark: SparkSession, folder: str):
+    train = _part(_stored_examples(spark, folder), "train")
+    shares = position_weights.item_shares(train, SETTINGS.num_labels)
+    return train, position_weights.draws(train, shares, SETTINGS.num_labels)
+
+
+@query
+def position_gradient(spark, folder):
+    """Loss (age -1) and its derivative by the number of every age, at stated numbers."""
+    _, rows = _draws(spark, folder)
+    return _rounded(position_weights.loss_and_gradient(rows, POSITION_B), "value")
+
+
+@query
+def learned_position_weights(spark, folder):
+    """The fitted number of every age, and whether the loss fell from even weights on."""
+    _, rows = _draws(spark, folder)
+    found = position_weights.fit_positions(rows, SETTINGS.max_seq)
+    fell = all(a > b for a, b in zip(found.losses, found.losses[1:]))
+    table = [(age, float(b), fell) for age, b in enumerate(found.b)]
+    return spark.createDataFrame(table, "age int, b double, fell boolean")
+
+
+@query
+def position_scores(spark, folder):
+    """Scores of the items of a history by the weights of their baskets' ages, at stated numbers."""
+    return position_weights.position_scores(_stored_examples(spark, folder), POSITION_B)

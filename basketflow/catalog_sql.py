@@ -11,6 +11,7 @@ from basketflow.catalog import (
     DIGITS,
     LEAST_SIMILARITY,
     PASSES,
+    POSITION_B,
     SAMPLE_RATE,
     SETTINGS,
     SUBSTITUTES,
@@ -19,6 +20,7 @@ from basketflow.operators.batches import SEED as BATCH_SEED
 from basketflow.operators.examples import SEED as SPLIT_SEED
 from basketflow.operators.examples import SHARES
 from basketflow.operators.metrics import TOP_K
+from basketflow.operators.position_weights import MIXED
 from basketflow.operators.sampling import SEED as SAMPLE_SEED
 from basketflow.operators.personal import FEATURES
 from basketflow.operators.scoring import DECAY, SCORE_DIGITS
@@ -301,6 +303,43 @@ CTES = {
         SELECT s."CUST_CODE", n.other AS idx, round(sum(s.p * n.similarity), {SCORE_DIGITS - 1}) AS p
         FROM scores s JOIN x_neighbours n ON n.idx = s.idx GROUP BY 1, 2""",
     ),
+    "ages": (
+        (),
+        f"""
+        SELECT generate_subscripts({POSITION_B}, 1) - 1 AS age, tanh(unnest({POSITION_B})) AS e""",
+    ),
+    "age_shares": (
+        ("x_items",),
+        f"""
+        SELECT w.range AS idx, (count(x.idx) + 1) / (any_value(t.n) + {WIDTH - 1}) AS share
+        FROM range(1, {WIDTH}) w LEFT JOIN x_items x ON x.idx = w.range
+        CROSS JOIN (SELECT count(*) AS n FROM x_items) t GROUP BY 1""",
+    ),
+    # Every known item of a train y with every basket of its customer that has a known item.
+    "age_parts": (
+        ("train_labels", "x_items", "usable", "ages", "age_shares"),
+        """
+        SELECT l."CUST_CODE", l.idx, s.share AS q, b.age, b.e, exp(b.e) AS w,
+               coalesce(1 / b.size, 0) * (x.idx IS NOT NULL)::INTEGER AS share
+        FROM (SELECT * FROM train_labels WHERE idx <> 0) l
+        JOIN age_shares s ON s.idx = l.idx
+        LEFT JOIN (SELECT i."CUST_CODE", i.basket_pos, any_value(n.n_baskets) - 1 - i.basket_pos AS age,
+                          any_value(a.e) AS e, count(*) AS size
+                   FROM x_items i
+                   JOIN (SELECT DISTINCT "CUST_CODE", n_baskets FROM usable) n USING ("CUST_CODE")
+                   JOIN ages a ON a.age = n.n_baskets - 1 - i.basket_pos
+                   GROUP BY 1, 2) b ON b."CUST_CODE" = l."CUST_CODE"
+        LEFT JOIN x_items x ON x."CUST_CODE" = l."CUST_CODE" AND x.basket_pos = b.basket_pos
+             AND x.idx = l.idx""",
+    ),
+    "age_draws": (
+        ("age_parts",),
+        f"""
+        SELECT *, {1 - MIXED} * s + {MIXED} * q AS p
+        FROM (SELECT *, coalesce(sum(w * share) OVER draw / sum(w) OVER draw, 0) AS s,
+                     sum(w) OVER draw AS total
+              FROM age_parts WINDOW draw AS (PARTITION BY "CUST_CODE", idx))""",
+    ),
     "all_pairs": (
         ("pairs",),
         """
@@ -797,4 +836,23 @@ def oracle_sql() -> dict[str, str]:
         ),
         "item_vectors_check": f"""SELECT range AS component, true AS apart, true AS fits
                                   FROM range({SETTINGS.embedding_size})""",
+        "position_gradient": _with(
+            ("age_draws",),
+            f"""SELECT age, round(sum(-{1 - MIXED} * w / total * (share - s) / p * (1 - e * e)), {DIGITS})
+                       AS value FROM age_draws WHERE age IS NOT NULL GROUP BY 1
+                UNION ALL
+                SELECT -1, round(sum(loss), {DIGITS})
+                FROM (SELECT any_value(-ln(p)) AS loss FROM age_draws GROUP BY "CUST_CODE", idx)""",
+        ),
+        "position_scores": _with(
+            ("usable", "ages"),
+            f"""SELECT "CUST_CODE", idx, round(sum(w / total), {SCORE_DIGITS}) AS p
+                FROM (SELECT DISTINCT "CUST_CODE", basket_pos, w, total,
+                             unnest(string_split(padded, ','))::BIGINT AS idx
+                      FROM (SELECT u.*, exp(a.e) AS w,
+                                   sum(exp(a.e)) OVER (PARTITION BY "CUST_CODE") AS total
+                            FROM usable u JOIN ages a ON a.age = n_baskets - 1 - basket_pos
+                            WHERE basket_pos < n_baskets))
+                GROUP BY 1, 2""",
+        ),
     }
