@@ -18,7 +18,7 @@ from basketflow.operators import vocabulary as voc
 from basketflow.plans.stages import TRANSACTION_KEYS, Settings, examples_of
 from basketflow.schemas import BASKET, CUST, PROD, WEEK
 from basketflow.session import scratch_path
-from basketflow.sources import landing, sample_tables, tables
+from basketflow.sources import incremental, landing, sample_tables, tables
 from basketflow.sources.tables import materialize
 
 # Bounds small enough that baskets, customers and items on both sides of each occur.
@@ -113,6 +113,21 @@ def scan_calendar_csv(spark, folder):
     return landing.read_calendar(spark, root)
 
 
+@query
+def stage_incrementally(spark, folder):
+    """Years of transactions that arrive one after another, each staged on its own."""
+    root, staging = scratch_path(spark, "landing"), scratch_path(spark, "staged")
+    df = sample_tables.transactions(spark, folder).withColumn("YEAR", F.floor(F.col(WEEK) / 100))
+    df = materialize(df, "arriving")
+    years = sorted(r.YEAR for r in df.select("YEAR").distinct().collect())
+    for some in (years[: len(years) // 2], years[len(years) // 2 :]):
+        part = df.where(F.col("YEAR").isin(some)).drop("YEAR")
+        part.write.mode("append").option("header", True).csv(f"{root}/transactions")
+        incremental.stage_new(spark, root, staging)
+    incremental.stage_new(spark, root, staging)
+    return incremental.staged_lines(spark, staging)
+
+
 @query
 def empty_landing(spark, folder):
     """Landing tables where no file has arrived: both are there, with their columns and no rows."""
@@ -178,6 +193,13 @@ def profile_top_values(spark, folder):
     return profiling.top_values(sample_tables.transactions(spark, folder))
 
 
+@query
+def profile_heavy_values(spark, folder):
+    """The same by a frequent-items summary; few tracked values, so that some columns need a full count."""
+    df = materialize(sample_tables.transactions(spark, folder), "profiled")
+    return profiling.heavy_values(df, tracked=500)
+
+
 @query
 def profile_calendar(spark, folder):
     df = profiling.numeric_profile(sample_tables.calendar(spark, folder))

@@ -512,6 +512,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "stage_transactions": trans,
         "scan_transactions_csv": trans,
+        "stage_incrementally": trans,
         "scan_calendar_csv": _with(("calendar",), "SELECT * FROM calendar"),
         "profile_head": _with(
             ("trans",),
@@ -540,6 +541,7 @@ def oracle_sql() -> dict[str, str]:
         "profile_missing": _with(("trans",), _missing()),
         "profile_numeric": _with(("trans",), _numeric("trans", NUMBER_COLUMNS)),
         "profile_top_values": _with(("trans",), _top_values()),
+        "profile_heavy_values": _with(("trans",), _top_values()),
         "profile_calendar": _with(
             ("calendar",), _numeric("calendar", ["SHOP_WEEK", "DATE_FROM", "DATE_TO"])
         ),

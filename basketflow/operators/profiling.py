@@ -118,3 +118,56 @@ def top_values(df: DataFrame, k: int = 20) -> DataFrame:
         .where(F.col("rank") <= k)
         .select("column", "rank", "value", "n")
     )
+
+
+TRACKED = 10_000
+# Fixed value: the error of a frequent-items summary is at most this share of its rows per entry of
+# its table, which has 4/3 times as many entries as items are tracked; an item that is not reported
+# has at most twice the error.
+_ERROR_PER_ENTRY = 3.5
+
+
+def heavy_values(df: DataFrame, k: int = 20, tracked: int = TRACKED) -> DataFrame:
+    """``top_values`` without a shuffle of all distinct values.
+
+    A first pass keeps a frequent-items summary of ``tracked`` values per string column, which tasks
+    merge, so its size does not depend on the values. Only the values it reports are counted exactly
+    in a second pass. They have the k most frequent of a column if the k-th count is above what any
+    other value can have: the error bound of the summary, or the rows that are not of the reported
+    values. Columns where that cannot be shown, such as keys of near equal counts, are counted in full.
+    """
+    names = string_columns(df)
+    if not names:
+        return top_values(df, k)
+    listed = 5 * k
+    found = df.agg(
+        F.count("*").alias("_rows"),
+        *[F.expr(f"approx_top_k(`{c}`, {listed}, {max(tracked, listed)})").alias(f"_{i}") for i, c in enumerate(names)],
+    ).first()
+    # At most 5 * k values a column reach the driver.
+    reported = [(c, entry[0], entry[1]) for i, c in enumerate(names) for entry in found[f"_{i}"] or []]
+    spark = df.sparkSession
+    schema = "_column STRING, _value STRING, _estimate BIGINT"
+    candidates = spark.createDataFrame(reported, schema)
+    same = (F.col("column") == F.col("_column")) & F.col("value").eqNullSafe(F.col("_value"))
+    counted = (
+        df.select(*names)
+        .unpivot([], names, "column", "value")
+        .join(F.broadcast(candidates.drop("_estimate")), same)
+        .groupBy("column", "value")
+        .agg(F.count("*").alias("n"))
+    )
+    counts = counted.collect()
+    error = 2 * _ERROR_PER_ENTRY * found["_rows"] / (max(tracked, listed) / 0.75)
+    proven, rows = [], []
+    for c in names:
+        own = sorted(((r["n"], r["value"]) for r in counts if r["column"] == c), key=lambda x: (-x[0], x[1] is not None, x[1] or ""))
+        left = found["_rows"] - sum(n for n, _ in own)
+        estimates = [e for name, _, e in reported if name == c]
+        bound = max(error, min(estimates)) if len(estimates) >= listed else error
+        if left == 0 or (len(own) >= k and own[k - 1][0] > min(bound, left)):
+            proven.append(c)
+            rows += [(c, i, value, n) for i, (n, value) in enumerate(own[:k], 1)]
+    exact = spark.createDataFrame(rows, "column STRING, rank INT, value STRING, n BIGINT")
+    others = [c for c in names if c not in proven]
+    return exact.unionByName(top_values(df.select(*others), k)) if others else exact

@@ -47,7 +47,7 @@ def profile(df: DataFrame, distinct: dict[str, str]) -> dict[str, DataFrame]:
         "distinct": profiling.distinct_counts(df, distinct),
         "duplicates": profiling.duplicate_counts(df),
         "missing": profiling.missing_fractions(df),
-        "top_values": profiling.top_values(df),
+        "top_values": profiling.heavy_values(df),
         "numeric": profiling.numeric_profile(df),
     }
 

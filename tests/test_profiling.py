@@ -2,6 +2,7 @@
 
 import datetime
 import math
+import random
 import statistics
 from collections import Counter
 
@@ -81,3 +82,20 @@ def test_top_values(spark):
 def test_head(mixed):
     assert prof.head(mixed, 2).count() == 2
     assert [r.i for r in prof.head(mixed, 3, ("i",)).collect()] == [None, 1, 1]
+
+
+@pytest.mark.parametrize("tracked", [100, 2000])
+def test_heavy_values_equal_a_full_count(spark, tracked):
+    rng = random.Random(5)
+    rows = []
+    for i in range(6000):
+        common = None if rng.random() < 0.1 else f"v{min(int(rng.expovariate(0.1)), 90):02d}"
+        tail = f"h{rng.randint(0, 3)}" if rng.random() < 0.5 else f"t{i}"
+        rows.append((common, tail, f"u{i % 3000}", "" if i % 2 else None, i))
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e int")
+    for k in (3, 20):
+        found = prof.heavy_values(df, k, tracked).collect()
+        expected = prof.top_values(df, k).collect()
+        assert sorted(map(str, found)) == sorted(map(str, expected))
+    assert prof.heavy_values(df.select("e")).count() == 0
+    assert prof.heavy_values(df.limit(0)).count() == 0
