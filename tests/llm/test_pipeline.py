@@ -48,3 +48,14 @@ def test_empty_corpus(spark, no_docs):
 def test_last_stage_gives_the_ids(spark, docs):
     rows = dict(corpus_pipeline.STAGES)["pack"](spark, docs, "").collect()
     assert rows and all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
+
+
+def test_clashing_columns_come_back(spark, docs):
+    names = ("score", "spans", "kept", "size", "part", "key", "_id", "node", "_size", "_rows", "redacted", "nth")
+    kept = docs.where("n_chars > 100").withColumns({c: F.concat(F.lit(c), "doc_id") for c in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, "")
+        assert kept.columns == [*docs.columns, *names], name
+        assert kept.where(" or ".join(f"`{c}` <> concat('{c}', doc_id)" for c in names)).isEmpty()
+        assert kept.count() > 0
+    assert dict(corpus_pipeline.STAGES)["pack"](spark, kept.select(*docs.columns), "").count() > 0
