@@ -6,6 +6,8 @@ mix takes documents of every source as often as its weight asks; packing cuts th
 All but the last return the columns of ``documents``.
 """
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,33 @@ from basketflow.llm.shared import documents, materialize, ship
 LEAST_SCORE = 0.35
 
 
+# Names of ``documents``; columns beyond these have none that the operators could take for theirs.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+_SMALL = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20),
+}
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Texts for Python in smaller batches: in these stages rows are wide, and come back as wide."""
+    for key, value in _SMALL.items():
+        spark.conf.set(key, value)
+
+
+def _apart(stage):
+    """The stage with further columns of its documents under names that cannot clash."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = {c: f"document_column_{i}" for i, c in enumerate(docs.columns) if c not in COLUMNS}
+        kept = stage(spark, docs.withColumnsRenamed(others), sf_dir)
+        return kept.withColumnsRenamed({hidden: c for c, hidden in others.items()})
+
+    return run
+
+
+@_apart
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; a null ``lang`` takes the one recognised.
 
@@ -28,6 +57,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
+@_apart
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest doc_id of every group of linked documents.
 
@@ -35,6 +65,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     once. Rows without a doc_id stay where no row of their group has one.
     """
     ship(spark)
+    _small_batches(spark)
     groups = materialize(jaccard_join.jaccard_components(docs, keep_node=True), "groups")
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
     counted = groups.groupBy(F.col("doc_id").alias("_id")).agg(
@@ -50,21 +81,24 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return once.unionByName(again)
 
 
+@_apart
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, every secret in their texts replaced by its kind; n_chars follows."""
+    """All documents, every secret in their texts replaced by its kind; n_chars follows.
+
+    Null and empty texts stay as they are, and repeated rows and an empty table come back as such.
+    """
     ship(spark)
-    found = secret_scan.scan_secrets(docs, secret_scan.fit(docs))
-    changed = found.withColumn("text", F.col("redacted"))
-    if "n_chars" in docs.columns:
-        length = F.length("redacted").cast(docs.schema["n_chars"].dataType)
-        changed = changed.withColumn(
-            "n_chars", F.when(F.col("spans") != "", length).otherwise(F.col("n_chars"))
-        )
-    return changed.select(*docs.columns)
+    _small_batches(spark)
+    return secret_scan.redact_texts(docs, secret_scan.fit(docs))
 
 
+@_apart
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every document as often as the mix takes it.
+
+    Null and empty texts have size 0 and are taken as the mix says; repeated rows are taken alike, and
+    an empty table stays empty.
+    """
     ship(spark)
     return mixing.apply_mix(docs, mixing.mix(docs))
 
