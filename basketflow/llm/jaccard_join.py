@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.shared import in_bitmap, key_bitmap, map_text, materialize
+from basketflow.llm.shared import in_bitmap, key_bitmap, map_text, materialize, trimmed
 from basketflow.llm.textbytes import mix, text_slices, words
 
 WORDS = 5
@@ -126,7 +126,7 @@ def _first_pass(size: int):
                 names=["doc_id", "node", "n", "signature"],
             )
 
-    return run
+    return trimmed(run)
 
 
 def _distinct_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -148,7 +148,7 @@ def _by_hash(size: int, percent: int):
                 key, count = np.unique(np.concatenate(keys), return_counts=True)
                 yield pa.RecordBatch.from_pydict({"key": key.view(np.int64), "n": count})
 
-    return run
+    return trimmed(run)
 
 
 def _beyond(long, size: int, percent: int):
@@ -166,7 +166,7 @@ def _beyond(long, size: int, percent: int):
                 key, count = np.unique(np.concatenate(keys), return_counts=True)
                 yield pa.RecordBatch.from_pydict({"key": key.view(np.int64), "n": count})
 
-    return run
+    return trimmed(run)
 
 
 def _moved_up(long, size: int, percent: int):
@@ -183,7 +183,7 @@ def _moved_up(long, size: int, percent: int):
                 key = np.unique(np.concatenate(keys))
                 yield pa.RecordBatch.from_pydict({"key": key.view(np.int64)})
 
-    return run
+    return trimmed(run)
 
 
 def _postings(long, shared, size: int, percent: int):
@@ -204,7 +204,7 @@ def _postings(long, shared, size: int, percent: int):
             if parts["key"]:
                 yield pa.RecordBatch.from_pydict({k: np.concatenate(v) for k, v in parts.items()})
 
-    return run
+    return trimmed(run)
 
 
 def _sets_with(nodes, size: int):
@@ -224,7 +224,7 @@ def _sets_with(nodes, size: int):
                     {"node": pa.array(found.keys(), pa.int64()), "grams": list(found.values())}
                 )
 
-    return run
+    return trimmed(run)
 
 
 def _only(nodes):
@@ -235,7 +235,7 @@ def _only(nodes):
             keys = batch.column(0).to_numpy().view(np.uint64)
             yield batch.filter(pa.array(in_bitmap(nodes.value, keys)))
 
-    return run
+    return trimmed(run)
 
 
 def _similar(percent: int):
@@ -250,7 +250,7 @@ def _similar(percent: int):
             ]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+    return trimmed(run)
 
 
 def _probe(percent: int):
@@ -269,7 +269,7 @@ def _probe(percent: int):
                 keep.append((100 + percent) * common >= percent * (len(a) + len(b)))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+    return trimmed(run)
 
 
 def _can_meet(percent: int):

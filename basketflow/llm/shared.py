@@ -1,5 +1,6 @@
 """What the corpus operators share: tables, stored passes, bitmaps, the code on executors."""
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 
 from basketflow.sources.tables import materialize
 
-__all__ = ["crc_bucket", "documents", "key_bitmap", "in_bitmap", "map_text", "materialize", "sample_by_label", "ship"]
+__all__ = ["crc_bucket", "documents", "key_bitmap", "in_bitmap", "map_text", "materialize", "sample_by_label", "ship", "trimmed"]
 
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 ARROW_BATCHES = {
@@ -82,6 +83,22 @@ def in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def trimmed(run: Callable) -> Callable:
+    """``run`` for mapInArrow that gives freed memory back to the machine when its task ends.
+
+    Workers are used again and would hold on to what their largest task took.
+    """
+
+    def inside(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return inside
+
+
 def map_text(
     docs: DataFrame,
     compute: Callable[[pa.Array], list[pa.Array]],
