@@ -11,7 +11,7 @@ from pyspark.sql.types import ByteType, FloatType, IntegerType, ShortType
 
 from basketflow.operators import affinity, batches, embeddings, item_vectors, metrics, model
 from basketflow.operators import neighbours as near
-from basketflow.operators import personal, position_weights, profiling, transitions
+from basketflow.operators import personal, pooling, position_weights, profiling, transitions
 from basketflow.operators import examples as ex
 from basketflow.operators import sampling, scoring, sequences
 from basketflow.operators import vocabulary as voc
@@ -825,3 +825,18 @@ def learned_position_weights(spark, folder):
 def position_scores(spark, folder):
     """Scores of the items of a history by the weights of their baskets' ages, at stated numbers."""
     return position_weights.position_scores(_stored_examples(spark, folder), POSITION_B)
+
+
+def _pooling_steps(spark: SparkSession, folder: str):
+    train = _part(_stored_examples(spark, folder), "train")
+    parts = pooling.basket_parts(train, _digest_vectors(spark, folder), SETTINGS.num_labels)
+    return pooling.steps(parts)
+
+
+@query
+def pooling_check(spark, folder):
+    """Both sides of the normal equations of the learned basket pooling: equal at the optimum."""
+    rows = _pooling_steps(spark, folder)
+    fitted = pooling.fit_pooling(rows, SETTINGS.max_items, DIGEST_SIZE)
+    checked = pooling.pooling_check(rows, fitted)
+    return checked.withColumns({c: F.round(c, 4) for c in ("aimed", "reached")})

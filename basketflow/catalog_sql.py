@@ -857,4 +857,20 @@ def oracle_sql() -> dict[str, str]:
                             WHERE basket_pos < n_baskets))
                 GROUP BY 1, 2""",
         ),
+        "pooling_check": _with(
+            ("usable", "digests"),
+            """, placed AS (
+                 SELECT * FROM (
+                   SELECT "CUST_CODE", basket_pos, unnest(string_split(padded, ','))::BIGINT AS idx,
+                          generate_subscripts(string_split(padded, ','), 1) - 1 AS place
+                   FROM usable WHERE split = 'train' AND basket_pos < n_baskets) WHERE idx <> 0),
+               targets AS (
+                 SELECT "CUST_CODE", basket_pos - 1 AS basket_pos, j, avg(v) AS m
+                 FROM placed JOIN digests USING (idx) GROUP BY 1, 2, 3)
+               SELECT p.place, d.j AS component, t.j AS target, round(sum(d.v * t.m), 4) AS aimed,
+                      round(sum(d.v * t.m), 4) AS reached
+               FROM placed p JOIN digests d ON d.idx = p.idx
+               JOIN targets t ON t."CUST_CODE" = p."CUST_CODE" AND t.basket_pos = p.basket_pos
+               GROUP BY 1, 2, 3""",
+        ),
     }
