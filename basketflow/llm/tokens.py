@@ -1,92 +1,86 @@
 """Token ids of whole texts with a public tokenizer whose tokens never cross white space.
 
-Such a tokenizer gives a text the ids of its white-space separated words in order, so every distinct
-word of a task is encoded once and texts are put together from the known words by array indexing.
+Such a tokenizer gives a text the ids of its white-space separated words in order. Arrow splits a
+slice of texts and numbers its distinct words; every distinct word is encoded once per process, and
+texts are put together from the known words by array indexing.
 """
 
 import os
 from collections.abc import Iterator
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 from basketflow.llm.textbytes import text_slices
 
 KNOWN_WORDS = 600_000
-_JOINED = 500
+_TOGETHER = 500
 _ENCODERS: dict = {}
 
 
+class Ids(NamedTuple):
+    first: int  # first row
+    ids: np.ndarray  # of all texts of the slice, one after the other
+    ends: np.ndarray  # where the ids of every text begin, and the last ones end
+
+
 class WordEncoder:
     """Encodes by word; keeps at most about KNOWN_WORDS words beyond those of one slice."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self._tokenizer = Tokenizer.from_file(path)
-        special = self._tokenizer.get_added_tokens_decoder()
-        self._mark_id = min((i for i, token in special.items() if token.special), default=None)
-        self._mark = special[self._mark_id].content if self._mark_id is not None else None
         self._forget()
 
     def _forget(self) -> None:
-        self._known: dict[bytes, int] = {}
+        self._known: dict[str, int] = {}
         self._ids = np.zeros(0, np.uint32)
         self._ends = np.zeros(1, np.int64)
 
-    def _learn(self, unknown: list[bytes]) -> None:
-        marked = [] if self._mark is None else [w for w in unknown if self._mark.encode() in w]
-        alone = unknown if self._mark is None else marked
-        together = [] if self._mark is None else sorted(set(unknown) - set(marked))
-        ids, sizes = self._encode_alone(alone)
-        more, more_sizes = self._encode_together(together)
-        for word in chain(alone, together):
-            self._known[word] = len(self._known)
-        ends = np.cumsum(np.concatenate((sizes, more_sizes))) + self._ends[-1]
-        self._ids = np.concatenate((self._ids, ids, more))
-        self._ends = np.concatenate((self._ends, ends))
-
-    def _encode_alone(self, unknown: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        texts = [word.decode() for word in unknown]
-        ids = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32)
-        return flat, np.array([len(word) for word in ids], np.int64)
-
-    def _encode_together(self, unknown: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Many words in one text, a special token after each to tell them apart."""
-        texts = [
-            (self._mark.join(w.decode() for w in unknown[i : i + _JOINED]) + self._mark)
-            for i in range(0, len(unknown), _JOINED)
-        ]
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        flat = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32)
-        mark = flat == self._mark_id
-        ends = np.flatnonzero(mark)
-        sizes = np.diff(np.concatenate(([-1], ends))) - 1
-        return flat[~mark], sizes.astype(np.int64)
+    def _learn(self, unknown: list[str]) -> None:
+        """Many words in one text, a space between them; a token belongs to the word it begins in."""
+        groups = [unknown[i : i + _TOGETHER] for i in range(0, len(unknown), _TOGETHER)]
+        found = self._tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+        ids, sizes = [self._ids], []
+        for words, encoded in zip(groups, found):
+            ends = np.cumsum([len(word) + 1 for word in words])
+            begins = np.fromiter(chain.from_iterable(encoded.offsets), np.int64)[::2]
+            sizes.append(np.bincount(np.searchsorted(ends, begins, side="right"), minlength=len(words)))
+            ids.append(np.array(encoded.ids, np.uint32))
+        self._known.update(zip(unknown, range(len(self._known), len(self._known) + len(unknown))))
+        self._ids = np.concatenate(ids)
+        self._ends = np.concatenate((self._ends, np.cumsum(np.concatenate(sizes)) + self._ends[-1]))
 
-    def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
-        """The ids of every text of a column; none for a null text."""
-        for _, _, data, offsets in text_slices(column):
+    def slices(self, column: pa.Array) -> Iterator[Ids]:
+        """The ids of the texts of a column, in slices of consecutive rows; none for a null text."""
+        for first, end, data, offsets in text_slices(column):
             if len(self._known) > KNOWN_WORDS:
                 self._forget()
-            raw = data.tobytes()
-            bounds = offsets.tolist()
-            texts = [raw[low:high].split() for low, high in zip(bounds, bounds[1:])]
-            unknown = [word for word in set().union(*texts) if word not in self._known]
-            if unknown:
-                self._learn(unknown)
-            every = map(self._known.__getitem__, chain.from_iterable(texts))
-            numbers = np.fromiter(every, np.int64)
+            buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+            split = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.large_string(), end - first, buffers))
+            coded = split.values.dictionary_encode()
+            distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+            numbers = np.array([self._known.get(word, -1) for word in distinct], np.int64)
+            new = np.flatnonzero(numbers < 0)
+            if len(new):
+                numbers[new] = len(self._known) + np.arange(len(new))
+                self._learn(distinct[new].tolist())
+            numbers = numbers[coded.indices.to_numpy()]
             sizes = self._ends[numbers + 1] - self._ends[numbers]
-            before = np.cumsum(sizes) - sizes
-            at = np.repeat(self._ends[numbers] - before, sizes) + np.arange(sizes.sum())
-            ids = self._ids[at]
-            words = np.cumsum([0] + [len(text) for text in texts])
-            ends = np.concatenate((before, [len(ids)]))[words]
-            for low, high in zip(ends.tolist(), ends[1:].tolist()):
-                yield ids[low:high]
+            before = np.concatenate(([0], np.cumsum(sizes)))
+            at = np.repeat(self._ends[numbers] - before[:-1], sizes)
+            at += np.arange(len(at))
+            yield Ids(first, self._ids[at], before[split.offsets.to_numpy()])
+
+    def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of every text of a column, one text after the other."""
+        for part in self.slices(column):
+            for low, high in zip(part.ends.tolist(), part.ends[1:].tolist()):
+                yield part.ids[low:high]
 
 
 def encoder(path: str) -> WordEncoder:
