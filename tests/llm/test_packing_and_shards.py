@@ -69,6 +69,19 @@ def test_permutation_is_a_bijection():
     assert not np.array_equal(moved, token_shards.permute(np.arange(1000), 1000, key=7))
 
 
+def texts_of(stored):
+    """The ids of every document that has an id of its own, put together from all records."""
+    found = {}
+    for record, n, *lists in zip(*[stored[c] for c in ("record", "n_ids", "doc_ids", "starts", "lengths")]):
+        flat = np.frombuffer(record, "<u2")
+        assert sum(lists[2]) == n and (flat[n:] == 0).all()
+        at = 0
+        for doc_id, start, size in zip(*lists):
+            found.setdefault(doc_id, []).append((start, flat[at : at + size]))
+            at += size
+    return {k: np.concatenate([x for _, x in sorted(v, key=lambda p: p[0])]) for k, v in found.items()}
+
+
 def test_shards_round_trip(spark, odd, ids, tmp_path):
     options = {"length": 32, "per_shard": 16}
     token_shards.write_shards(token_shards.training_order(odd, PATH, **options), str(tmp_path / "s"))
@@ -77,17 +90,37 @@ def test_shards_round_trip(spark, odd, ids, tmp_path):
     assert (stored["shard"] == stored["slot"] // 16).all()
     assert (stored["byte_offset"] == stored["slot"] % 16 * 64).all()
     assert {len(x) for x in stored["record"]} == {64}
+    assert [zlib.crc32(x[: 2 * n]) for x, n in zip(stored["record"], stored["n_ids"])] == stored["ids_crc32"].tolist()
+    texts = texts_of(stored)
     for r in odd.collect():
         if r.doc_id in (None, 1003, 1004):
             continue
-        own = stored[stored["doc_id"] == r.doc_id].sort_values("start")
-        parts = [np.frombuffer(x, "<u2")[:n] for x, n in zip(own["record"], own["n_ids"])]
-        assert np.concatenate(parts).tolist() == ids[r.text or ""]
+        assert texts[r.doc_id].tolist() == ids[r.text or ""]
+    # Rows with one doc_id, or none, are documents of their own: none of their ids is lost.
+    for some in (None, 1003, 1004):
+        own = [ids[r.text or ""] for r in odd.collect() if r.doc_id == some]
+        assert sorted(texts[some].tolist()) == sorted(i for x in own for i in x)
+    assert (stored["n_ids"] < 32).sum() <= odd.rdd.getNumPartitions()
     rest = token_shards.read_from(spark, str(tmp_path / "s"), 21, 16)
     assert [r.slot for r in rest.collect()] == list(range(21, len(stored)))
     again = token_shards.training_order(odd, PATH, **options).collect()
     first = token_shards.read_from(spark, str(tmp_path / "s"), 0, 16).collect()
-    assert {(r.slot, r.doc_id, r.start) for r in again} == {(r.slot, r.doc_id, r.start) for r in first}
+    assert sorted(again) == sorted(first)
+
+
+def test_shards_of_long_texts_and_further_columns(spark, ids, odd, tmp_path):
+    long = "a long text of words " * 20_000
+    docs = spark.createDataFrame([(1, long, "en", "s", 0), (2, None, "en", "s", 0)], corpus.SCHEMA)
+    made = token_shards.training_order(corpus.clashing(docs).coalesce(1), PATH, length=64).toPandas()
+    texts = texts_of(made)
+    assert texts[1].tolist() == Tokenizer.from_file(PATH).encode(long, add_special_tokens=False).ids + [2]
+    assert texts[2].tolist() == [2]
+    assert sorted(made["n_ids"])[1:] == [64] * (len(made) - 1)
+
+
+def test_ids_that_do_not_fit(odd):
+    with pytest.raises(Exception, match="does not fit"):
+        token_shards.training_order(odd, PATH, kind="<u1").collect()
 
 
 def test_no_shards(no_docs):
@@ -109,6 +142,8 @@ def test_a_shard_is_one_raw_file_of_records(spark, odd, tmp_path):
     later = want[want["slot"] >= 21].sort_values("slot")
     assert rest["record"].map(bytes).tolist() == later["record"].map(bytes).tolist()
     assert rest["ids_crc32"].tolist() == later["ids_crc32"].tolist()
-    assert rest["doc_id"].isna().sum() == later["doc_id"].isna().sum()
+    for name in ("doc_ids", "starts", "lengths"):
+        assert rest[name].map(list).tolist() == later[name].map(list).tolist()
+    assert any(x is None or x != x for ids in want["doc_ids"] for x in ids)
     token_shards.write_shards(token_shards.training_order(odd.limit(0), PATH), str(path))
     assert token_shards.read_from(spark, str(path), 0).count() == 0
