@@ -11,7 +11,9 @@ Every shard is written from its range as one raw file of records without anythin
 record i starts at byte i * stride of ``shard-<s>.bin``, and a reader goes on from any slot by seeking.
 Beside it ``shard-<s>.index`` has an entry of fixed size per record and ``shard-<s>.pieces`` one per
 stretch of a document in a record: an entry says how many stretches there are, and which is the first.
-Sequences are compressed while they are stored and shuffled. Nothing but counts per part is gathered.
+Sequences are compressed while they are stored and shuffled, with a dictionary made from a bounded
+sample of texts; what the shards hold does not depend on it. Nothing else but counts per part is
+gathered.
 """
 
 import uuid
@@ -40,6 +42,10 @@ ROUNDS = 4
 _ENTRY = np.dtype([("n_ids", "<i4"), ("ids_crc32", "<i8"), ("first", "<i8"), ("pieces", "<i4")])
 _PIECE = np.dtype([("doc_id", "<i8"), ("has_id", "?"), ("start", "<i8"), ("length", "<i4")])
 _FILES = ("bin", "index", "pieces")
+# The sample for the compression's dictionary: texts, characters of each at most, bytes made of it.
+SAMPLE_TEXTS = 512
+SAMPLE_CHARACTERS = 8000
+DICTIONARY_BYTES = 1 << 16
 _READ = 256
 
 
@@ -62,10 +68,10 @@ def permute(numbers: np.ndarray, total: int, key: int = KEY) -> np.ndarray:
 class _Stream:
     """The ids of documents one after the other, and which stretch of them is whose."""
 
-    def __init__(self, length: int, kind: str):
+    def __init__(self, length: int, kind: str, common: bytes):
         self.length, self.at = length, 0
         self.ids, self.pieces = np.zeros(0, kind), np.zeros(0, _PIECE)
-        self.press = zstandard.ZstdCompressor(level=6)
+        self.press = zstandard.ZstdCompressor(level=6, dict_data=_dictionary(common))
 
     def add(self, ids: np.ndarray, sizes: np.ndarray, docs: pa.Array) -> None:
         pieces = np.zeros(len(sizes), _PIECE)
@@ -103,12 +109,29 @@ class _Stream:
         return made
 
 
-def _sequences(tokenizer: str, length: int, end_id: int, kind: str):
+def _dictionary(common: bytes) -> zstandard.ZstdCompressionDict | None:
+    return zstandard.ZstdCompressionDict(common) if common else None
+
+
+def _common(docs: DataFrame, tokenizer: str, length: int, kind: str) -> bytes:
+    """What compression takes for known: a dictionary from the ids of a few texts, or nothing."""
+    texts = docs.select(F.substring("text", 1, SAMPLE_CHARACTERS).alias("text")).where("text <> ''")
+    column = pa.array([r.text for r in texts.limit(SAMPLE_TEXTS).collect()], pa.string())
+    ids = [some.ids.astype(kind) for some in encoder(tokenizer).slices(column)]
+    flat = np.concatenate(ids) if ids else np.zeros(0, kind)
+    samples = [flat[i : i + length].tobytes() for i in range(0, len(flat), length)]
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+    except (zstandard.ZstdError, ValueError):  # too little to learn from
+        return b""
+
+
+def _sequences(tokenizer: str, length: int, end_id: int, kind: str, common: bytes):
     most = np.iinfo(kind).max
 
     def run(batches):
         slices = encoder(tokenizer).slices
-        part, stream = TaskContext.get().partitionId(), _Stream(length, kind)
+        part, stream = TaskContext.get().partitionId(), _Stream(length, kind, common)
         for batch in batches:
             for some in slices(batch.column(1)):
                 ids = np.insert(some.ids, some.ends[1:], end_id)
@@ -141,9 +164,10 @@ def training_order(
     text has the end id alone; rows with one doc_id are separate documents; a null doc_id is kept. An
     empty table gives no rows. Columns other than doc_id and text are not read.
     """
+    common = _common(docs, tokenizer, length, kind)
     stored = materialize(
         docs.select("doc_id", "text").mapInArrow(
-            _sequences(tokenizer, length, end_id, kind),
+            _sequences(tokenizer, length, end_id, kind, common),
             "part int, at long, packed binary",
         ),
         "sequences",
@@ -167,14 +191,15 @@ def training_order(
     shards = -(-total // per_shard)
     shard = F.floor(F.col("slot") / per_shard)
     ordered = placed.select("slot", "packed").repartitionByRange(shards, shard).sortWithinPartitions("slot")
-    return ordered.mapInArrow(_unpacked(length, per_shard, pad_id, kind), _READ_SCHEMA)
+    return ordered.mapInArrow(_unpacked(length, per_shard, pad_id, kind, common), _READ_SCHEMA)
 
 
-def _unpacked(length: int, per_shard: int, pad_id: int, kind: str):
+def _unpacked(length: int, per_shard: int, pad_id: int, kind: str, common: bytes):
     """The whole rows of (slot, packed), their records padded."""
 
     def run(batches):
-        pad, press = np.full(length, pad_id, kind).tobytes(), zstandard.ZstdDecompressor()
+        pad = np.full(length, pad_id, kind).tobytes()
+        press = zstandard.ZstdDecompressor(dict_data=_dictionary(common))
         for batch in batches:
             slots = batch.column(0).to_numpy()
             heads, pieces, records = [], [], []

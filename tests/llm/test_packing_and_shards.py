@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import corpus
@@ -118,6 +119,18 @@ def test_shards_of_long_texts_and_further_columns(spark, ids, odd, tmp_path):
     assert sorted(made["n_ids"])[1:] == [64] * (len(made) - 1)
 
 
+def test_a_dictionary_of_a_sample_changes_no_record(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, corpus.text(rng, 400), "en", "s", 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, corpus.SCHEMA).coalesce(2)
+    common = token_shards._common(docs, PATH, 256, "<u2")
+    assert 0 < len(common) <= token_shards.DICTIONARY_BYTES
+    texts = texts_of(token_shards.training_order(docs, PATH, length=256).toPandas())
+    tokenizer = Tokenizer.from_file(PATH)
+    for doc_id, text, *_ in rows:
+        assert texts[doc_id].tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [2]
+
+
 def test_ids_that_do_not_fit(odd):
     with pytest.raises(Exception, match="does not fit"):
         token_shards.training_order(odd, PATH, kind="<u1").collect()
