@@ -96,7 +96,23 @@ class ConvNet:
                 self._tables = None
         return self
 
-    def _gradients(self, windows: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
+    def step(self, grads: dict[str, np.ndarray], state: dict, rate: float = 3e-3) -> None:
+        """One Adam step on gradients summed elsewhere; ``state`` holds the moments between steps."""
+        state["step"] = state.get("step", 0) + 1
+        for name, grad in grads.items():
+            mean = state.setdefault(("mean", name), np.zeros_like(self.params[name]))
+            square = state.setdefault(("square", name), np.zeros_like(self.params[name]))
+            mean += 0.1 * (grad - mean)
+            square += 0.001 * (grad * grad - square)
+            self.params[name] -= (
+                rate * (mean / (1 - 0.9 ** state["step"])) / (np.sqrt(square / (1 - 0.999 ** state["step"])) + 1e-8)
+            ).astype(np.float32)
+        self._tables = None
+
+    def _gradients(
+        self, windows: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None
+    ) -> dict[str, np.ndarray]:
+        """Gradients of the mean cross-entropy, or with ``weights`` of their weighted sum."""
         p, count = self.params, len(labels)
         responses = self._responses(windows)
         best = [r.argmax(axis=1) for r in responses]
@@ -105,7 +121,10 @@ class ConvNet:
         hidden = np.maximum(raw, 0)
         error = softmax(hidden @ p["dense"] + p["out"])
         error[np.arange(count), labels] -= 1
-        error /= count
+        if weights is None:
+            error /= count
+        else:
+            error *= weights[:, None].astype(np.float32)
         back = (error @ p["dense"].T) * (raw > 0)
         tables = np.zeros((len(p["conv"]), 256, self.filters), np.float32)
         rows, column, place = np.arange(count)[:, None], np.arange(self.filters), 0
