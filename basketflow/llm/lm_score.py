@@ -146,12 +146,14 @@ class LogBilinear:
     def dense(self) -> np.ndarray:
         return np.concatenate([x.ravel() for x in (self.targets, self.turns, self.bias)])
 
-    def rows(self) -> np.ndarray:
-        """What every word has of its own, in a row: its vector, target and bias."""
-        own = np.zeros((self.words + 1, 2 * DIM + 1), np.float32)
-        own[:, :DIM] = self.vectors
-        own[:-1, DIM:-1] = self.word_targets
-        own[:-1, -1] = self.word_bias
+    def rows(self, low: int = 0, high: int | None = None) -> np.ndarray:
+        """What every word from ``low`` to ``high`` has of its own, in a row: its vector, target and bias."""
+        high = self.words + 1 if high is None else min(high, self.words + 1)
+        own = np.zeros((high - low, 2 * DIM + 1), np.float32)
+        own[:, :DIM] = self.vectors[low:high]
+        inner = min(high, self.words) - low
+        own[:inner, DIM:-1] = self.word_targets[low : low + inner]
+        own[:inner, -1] = self.word_bias[low : low + inner]
         return own
 
     def load(self, dense: np.ndarray, rows: np.ndarray) -> "LogBilinear":
@@ -343,12 +345,18 @@ _ENCODED = (
 def windows_of(
     ids: np.ndarray, sizes: np.ndarray, before: int, first: int = 0, step: int = 1
 ) -> np.ndarray:
-    """Every ``step``-th id of texts of these sizes after the CONTEXT ids in front, the last one first."""
-    place = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    """Every ``step``-th id of texts of these sizes after the CONTEXT ids in front, the last one first.
+
+    Places within their texts are found for the chosen ids alone, by the starts of the texts.
+    """
+    starts = np.cumsum(sizes) - sizes
     at = np.arange(first, len(ids), step)
+    place = at - starts[np.searchsorted(starts, at, side="right") - 1] if len(at) else at
     windows = np.empty((len(at), CONTEXT + 1), np.int32)
     for j in range(CONTEXT):
-        windows[:, j] = np.where(place[at] > j, ids[np.maximum(at - j - 1, 0)], before)
+        column = ids[np.maximum(at - j - 1, 0)]
+        column[place <= j] = before
+        windows[:, j] = column
     windows[:, CONTEXT] = ids[at]
     return windows
 
@@ -360,18 +368,21 @@ def _changes(start: LogBilinear, model: LogBilinear, windows: np.ndarray):
     """What training changed, by block of words: places, how much each counts, and the changes.
 
     A word's vector counts as often as it is in a context, its target as often as it was tried.
+    The changes are taken block by block, so that no copy of all rows is held.
     """
     yield -1, np.zeros(1, np.int32), np.full((1, 1), len(windows)), (model.dense() - start.dense())[None]
-    delta = model.rows() - start.rows()
-    weights = np.zeros((len(delta), 2))
-    weights[:, 0] = np.bincount(windows[:, :CONTEXT].ravel(), minlength=len(delta))
-    targets = np.bincount(windows[:, CONTEXT], minlength=len(delta) - 1)
+    number = model.words + 1
+    weights = np.zeros((number, 2))
+    for j in range(CONTEXT):
+        weights[:, 0] += np.bincount(windows[:, j], minlength=number)
+    targets = np.bincount(windows[:, CONTEXT], minlength=number - 1)
     tried = np.add.reduceat(targets, model.firsts) * WORD_NOISE / model.sizes
     weights[:-1, 1] = targets + tried[model.class_of]
-    changed = np.flatnonzero(delta.any(axis=1))
-    for at in np.split(changed, np.searchsorted(changed, np.arange(_BLOCK, len(delta), _BLOCK))):
+    for low in range(0, number, _BLOCK):
+        delta = model.rows(low, low + _BLOCK) - start.rows(low, low + _BLOCK)
+        at = np.flatnonzero(delta.any(axis=1))
         if len(at):
-            yield int(at[0] // _BLOCK), (at % _BLOCK).astype(np.int32), weights[at], delta[at]
+            yield low // _BLOCK, at.astype(np.int32), weights[low + at], delta[at]
 
 
 def _mean_changes(batches):
@@ -421,9 +432,12 @@ def train(encoded: DataFrame, model: LogBilinear, rounds: int = ROUNDS) -> LogBi
             start, number = shared.value
             part = part.sort_values(["doc_id", "n_tokens", "ids"])
             ids = np.frombuffer(b"".join(part["ids"]), np.int32)
-            windows = windows_of(ids, part["n_tokens"].to_numpy(), start.words, number, rounds)
+            sizes, seed = part["n_tokens"].to_numpy(), 1000 * number + int(part["shard"].iloc[0])
+            del part
+            windows = windows_of(ids, sizes, start.words, number, rounds)
+            del ids
             model = copy.deepcopy(start)
-            model.train(windows, seed=1000 * number + int(part["shard"].iloc[0]))
+            model.train(windows, seed=seed)
             found = [
                 (b, at.tobytes(), w.astype(np.float32).tobytes(), d.astype(np.float16).tobytes())
                 for b, at, w, d in _changes(start, model, windows)

@@ -1,5 +1,7 @@
+import copy
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -212,3 +214,20 @@ def test_every_place_is_learned_from_once(docs, monkeypatch):
     lm_score.train(encoded, model)
     total = sum(i % 20 + 2 for i in range(50))
     assert abs((model.dense() - dense)[0] - total) < 1e-3
+
+
+def test_training_changes_hold_no_copy_of_all_rows():
+    """A shard's changes are taken block by block; no copy of every word's row is held."""
+    n = 1 << 16
+    start = lm_score.LogBilinear(np.full(n + 1, 5), lm_score.first_ids(n))
+    model = copy.deepcopy(start)
+    model.vectors += 1
+    model.word_targets += 1
+    ids = (np.arange(1 << 16) % n).astype(np.int32)
+    windows = lm_score.windows_of(ids, np.full(1 << 6, 1 << 10), n)
+    tracemalloc.start()
+    blocks = sum(1 for _ in lm_score._changes(start, model, windows))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert blocks == -(-(n + 1) // lm_score._BLOCK) + 1
+    assert peak < start.rows().nbytes
