@@ -17,7 +17,7 @@ from basketflow.operators import sampling, scoring, sequences
 from basketflow.operators import vocabulary as voc
 from basketflow.plans.stages import TRANSACTION_KEYS, Settings, examples_of
 from basketflow.schemas import BASKET, CUST, PROD, WEEK
-from basketflow.session import scratch_path
+from basketflow.session import scratch_path, shuffles_freed
 from basketflow.sources import incremental, landing, sample_tables, tables
 from basketflow.sources.tables import materialize
 
@@ -25,6 +25,7 @@ from basketflow.sources.tables import materialize
 SETTINGS = Settings(num_prods=500, max_items=8, max_seq=16, embedding_size=16)
 BATCH_SIZE, PASSES = 32, 2
 SAMPLE_RATE, NEAR_ONE = 0.5, 0.9999999999
+FILE_LINES = 1_000_000
 DIGITS = 6
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,14 +118,21 @@ def scan_calendar_csv(spark, folder):
 def stage_incrementally(spark, folder):
     """Years of transactions that arrive one after another, each staged on its own."""
     root, staging = scratch_path(spark, "landing"), scratch_path(spark, "staged")
-    df = sample_tables.transactions(spark, folder).withColumn("YEAR", F.floor(F.col(WEEK) / 100))
-    df = materialize(df, "arriving")
-    years = sorted(r.YEAR for r in df.select("YEAR").distinct().collect())
-    for some in (years[: len(years) // 2], years[len(years) // 2 :]):
-        part = df.where(F.col("YEAR").isin(some)).drop("YEAR")
-        part.write.mode("append").option("header", True).csv(f"{root}/transactions")
+    year = F.floor(F.col(WEEK) / 100)
+    with shuffles_freed(spark):
+        shares = [s.withColumn("YEAR", year) for s in sample_tables.transaction_shares(spark, folder)]
+        df = materialize(shares, "arriving", compression=tables.COMPACT)
+        years = sorted(r.YEAR for r in df.select("YEAR").distinct().collect())
+        halves = years[: len(years) // 2], years[len(years) // 2 :]
+        for i, some in enumerate(halves):
+            part = df.where(F.col("YEAR").isin(some)).drop("YEAR")
+            # Compressed files cannot be divided between tasks, so none is large.
+            writer = part.write.mode("append").option("header", True)
+            writer.options(compression="gzip", maxRecordsPerFile=FILE_LINES).csv(f"{root}/transactions")
+            if i == 1:
+                tables.release(df)  # all of it has landed
+            incremental.stage_new(spark, root, staging)
         incremental.stage_new(spark, root, staging)
-    incremental.stage_new(spark, root, staging)
     return incremental.staged_lines(spark, staging)
 
 

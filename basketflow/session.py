@@ -2,6 +2,8 @@
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +36,23 @@ def local_session(cpus: int | str = "*", app: str = "basketflow", **conf) -> Spa
     return spark
 
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go as soon as the plan that made them ends, not when the driver collects garbage."""
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder shared by all executors: spark.checkpoint.dir.
 

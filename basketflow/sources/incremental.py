@@ -8,16 +8,19 @@ between is thereby repeated by the next one, and a run without a change writes n
 """
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.schemas import TRANSACTIONS_SCHEMA, WEEK
+from basketflow.session import shuffles_freed
 from basketflow.sources.landing import read_transactions
-from basketflow.sources.tables import materialize
+from basketflow.sources.tables import COMPACT, materialize, release
 
 SOURCE = "_source"
 _PART = "_week"  # the partition column; the week itself stays in the rows
 _MANIFEST = "path STRING, length BIGINT, changed TIMESTAMP"
+# Lines of the weeks that are rewritten at a time; their shuffle takes some 1 GB.
+TURN_LINES = 10_000_000
 
 
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
@@ -77,20 +80,30 @@ def stage_new(spark: SparkSession, root: str, staging: str) -> dict[str, int]:
     arrived = changed.where("new").select(F.col("path").alias(SOURCE))
     lines = read_transactions(spark, root).withColumn(SOURCE, F.col("_metadata.file_path"))
     fresh = lines.join(arrived, SOURCE, "left_semi").withColumn(_PART, F.coalesce(F.col(WEEK).cast("string"), F.lit("none")))
-    fresh = materialize(fresh.select(*TRANSACTIONS_SCHEMA.names, SOURCE, _PART), "fresh")
-    old = _staged(spark, staging)
+    fresh = fresh.select(*TRANSACTIONS_SCHEMA.names, SOURCE, _PART)
     replaced = changed.select(F.col("path").alias(SOURCE))
-    weeks = fresh.select(_PART).union(old.join(replaced, SOURCE, "left_semi").select(_PART)).distinct()
-    weeks = materialize(weeks, "weeks")
-    # What stays of the weeks is read before they are overwritten.
-    stay = old.join(weeks, _PART, "left_semi").join(replaced, SOURCE, "left_anti")
-    after = materialize(stay.select(*fresh.columns).unionByName(fresh), "weeks-after")
     path = f"{staging}/lines"
-    if not after.isEmpty():
-        writer = after.hint("rebalance", _PART).write.mode("overwrite").partitionBy(_PART)
-        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-    emptied = weeks.join(after.select(_PART).distinct(), _PART, "left_anti")
-    _empty_weeks(spark, path, [r[_PART] for r in emptied.collect()])
+    with shuffles_freed(spark):
+        fresh = materialize(fresh, "fresh", compression=COMPACT)
+        old = _staged(spark, staging)
+        weeks = fresh.select(_PART).union(old.join(replaced, SOURCE, "left_semi").select(_PART)).distinct()
+        weeks = materialize(weeks, "weeks")
+
+        def after(share: Column = F.lit(True)) -> DataFrame:
+            """The lines that the weeks have from now on; ``share`` is a condition on the week."""
+            stay = _staged(spark, staging).where(share).join(weeks, _PART, "left_semi").join(replaced, SOURCE, "left_anti")
+            return stay.select(*fresh.columns).unionByName(fresh.where(share))
+
+        filled = materialize(after().groupBy(_PART).agg(F.count("*").alias("n")), "weeks-after")
+        turns = -(-(filled.agg(F.sum("n").alias("n")).first()["n"] or 0) // TURN_LINES)
+        for i in range(turns):
+            # What stays is read where it is overwritten: new files replace a week's when all are written.
+            some = after(F.pmod(F.xxhash64(_PART), F.lit(turns)) == i)
+            writer = some.hint("rebalance", _PART).write.mode("overwrite").partitionBy(_PART)
+            writer.options(partitionOverwriteMode="dynamic", compression=COMPACT).parquet(path)
+        emptied = weeks.join(filled, _PART, "left_anti")
+        _empty_weeks(spark, path, [r[_PART] for r in emptied.collect()])
+        release(fresh)
     number = _stored(spark, f"{staging}/manifest", f"{_MANIFEST}, run BIGINT").agg(F.max("run").alias("n")).first()["n"]
     run = F.lit((number or 0) + 1).cast("bigint")
     now.withColumn("run", run).coalesce(1).write.mode("append").parquet(f"{staging}/manifest")

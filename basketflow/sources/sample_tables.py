@@ -12,6 +12,8 @@ from basketflow.schemas import BASKET, CUST, PROD, TRANSACTIONS_SCHEMA
 # Key widths: zero padding keeps string order equal to numeric order, and the widths leave room
 # for keys of the largest scale factors, since lpad would cut longer ones.
 CUST_WIDTH, BASKET_WIDTH, PROD_WIDTH = 12, 15, 12
+# Lines whose joins are shuffled at a time: some 2 GB.
+SHARE_LINES = 20_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,8 +43,11 @@ def basket_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """Every line with all 22 columns of the transaction schema."""
+def transactions(spark: SparkSession, folder: str, share: tuple[int, int] = (0, 1)) -> DataFrame:
+    """Every line with all 22 columns of the transaction schema.
+
+    Of a share (i, n), the lines of the i-th of n parts of the orders, dealt by a hash of their key.
+    """
     region = (
         table(spark, folder, "supplier")
         .join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
@@ -69,12 +74,16 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
         "STORE_CODE": F.col("l_suppkey"),
         "STORE_REGION": F.col("n_name"),
     }
+    # What a line has from its order comes last, with the customer: lines are shuffled once less and
+    # while they are narrow.
+    orders = _shared(table(spark, folder, "orders"), "o_orderkey", share).join(
+        customer, F.col("o_custkey") == F.col("c_custkey"), "left"
+    )
     joined = (
-        table(spark, folder, "lineitem")
-        .join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+        _shared(table(spark, folder, "lineitem"), "l_orderkey", share)
         .join(region, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     )
     return joined.select(
         *[
@@ -84,6 +93,18 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def transaction_shares(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The same in as many shares as keep the shuffles of each bounded."""
+    n = -(-table(spark, folder, "lineitem").count() // SHARE_LINES) or 1
+    return [transactions(spark, folder, (i, n)) for i in range(n)]
+
+
+def _shared(df: DataFrame, key: str, share: tuple[int, int]) -> DataFrame:
+    i, n = share
+    # Not the hash that shuffles deal by, or a share would fill only some of their partitions.
+    return df if n == 1 else df.where(F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(n)) == i)
+
+
 def calendar(spark: SparkSession, folder: str) -> DataFrame:
     """First and last order day of every week."""
     day = F.col("o_orderdate")
